@@ -1,6 +1,6 @@
 """Registered queries and their DuckDB counterparts."""
 
-from grovekit.catalog import text  # noqa: F401
+from grovekit.catalog import profile, text  # noqa: F401
 from grovekit.catalog.registry import ORACLE, QUERIES
 
 
