@@ -6,9 +6,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from grovekit.fixed import LINE_BUCKETS
-from grovekit.operators.bounded import lookup_join
-from grovekit.operators.filters import fences
-from grovekit.operators.quantiles import describe
+from grovekit.operators.quantiles import column_value_counts, describe_counts, value_counts
 
 WEIGHTED_MEANS = (
     "mean_line_count", "mean_ast_nodes", "mean_line_length",
@@ -26,11 +24,8 @@ def metrics_report(df, by):
 
 
 def describe_columns(df, by, columns):
-    """Long summary table: one row per key and column."""
-    parts = [
-        describe(df, by, c).withColumn("column", F.lit(c)) for c in columns
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Long summary table: one row per key and column, all columns from one scan."""
+    return describe_counts(column_value_counts(df, by, columns), [*by, "column"])
 
 
 def line_bucket_index(column):
@@ -49,16 +44,17 @@ def line_buckets(df, by, column="line_count"):
 
 def boxplot_stats(df, by, column):
     """Five-number summary, bounds and number of outliers per key."""
-    summary = describe(df, by, column).select(
-        *by, "count", "min", "p25", "p50", "p75", "max",
-    )
-    bounds = fences(df, by, column).select(*by, "low", "high")
+    counts = value_counts(df, by, column)
+    summary = describe_counts(counts, by).drop("mean", "std").withColumns({
+        "low": F.col("p25") - 1.5 * (F.col("p75") - F.col("p25")),
+        "high": F.col("p75") + 1.5 * (F.col("p75") - F.col("p25")),
+    })
+    outside = ~F.col("value").between(F.col("low"), F.col("high"))
     outliers = (
-        lookup_join(df.select(*by, column), bounds, by)
-        .groupBy(*by)
-        .agg(F.count_if(~F.col(column).between(F.col("low"), F.col("high"))).alias("outliers"))
+        counts.join(summary.select(*by, "low", "high"), list(by))
+        .groupBy(*by).agg(F.sum(F.when(outside, F.col("cnt")).otherwise(0)).alias("outliers"))
     )
-    return summary.join(bounds, list(by)).join(outliers, list(by))
+    return summary.join(outliers, list(by))
 
 
 def node_density(nodes="ast_node_count", lines="line_count"):

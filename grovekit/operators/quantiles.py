@@ -8,8 +8,6 @@ only those buckets are sorted. No task then holds a whole key, and the answer do
 depend on how the values fall into buckets.
 """
 
-from functools import reduce
-
 from pyspark.sql import Window, functions as F
 
 from grovekit.session import staged
@@ -22,10 +20,20 @@ _BUCKETS_PER_OCTAVE = 1024
 
 def value_counts(df, by, column):
     """``(by, value, cnt)`` with nulls and NaN left out, staged."""
-    value = F.col(column).cast("double")
+    return _counted(df.select(*by, F.col(column).cast("double").alias("value")), by)
+
+
+def column_value_counts(df, by, columns):
+    """``(by, column, value, cnt)`` of several columns from one scan, staged."""
+    listed = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    ]))
+    return _counted(df.select(*by, listed.alias("_v")).select(*by, "_v.*"), [*by, "column"])
+
+
+def _counted(values, by):
     counts = (
-        df.select(*by, value.alias("value"))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        values.where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(*by, "value")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -44,13 +52,14 @@ def quantiles_of_counts(counts, by, probabilities, values=None):
     rows where the caller knows one.
     """
     if (counts.count() if values is None else values) <= BUILT_IN_VALUES:
-        return counts.groupBy(*by).agg(*[
-            F.percentile("value", float(p), F.col("cnt")).alias(name)
-            for name, p in probabilities.items()
-        ])
+        return counts.groupBy(*by).agg(*_built_in(probabilities))
     return bucketed_quantiles(counts, by, probabilities)
 
 
+def _built_in(probabilities):
+    return [F.percentile("value", float(p), F.col("cnt")).alias(n) for n, p in probabilities.items()]
+
+
 def bucketed_quantiles(counts, by, probabilities):
     """The same for any number of values."""
     by = list(by)
@@ -126,26 +135,30 @@ def describe_counts(counts, by, prefix=""):
     keys = by or ["_all"]
     if not by:
         counts = counts.withColumn("_all", F.lit(0))
-    means = counts.groupBy(*keys).agg(
+    moments = [
         F.sum("cnt").alias("count"),
         (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
+    ]
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    if counts.count() <= BUILT_IN_VALUES:
+        base = counts.groupBy(*keys).agg(*moments, *_built_in(quartiles))
+    else:
+        base = counts.groupBy(*keys).agg(*moments).join(
+            bucketed_quantiles(counts, keys, quartiles), keys)
     # Deviations from the known mean: no cancellation, and only counted values are read again.
     spread = (
-        counts.join(means.select(*keys, "mean"), keys)
+        counts.join(base.select(*keys, "mean"), keys)
         .groupBy(*keys)
         .agg(F.sqrt(F.try_divide(
             F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), 2)), F.sum("cnt") - 1,
         )).alias("std"))
     )
-    quartiles = quantiles_of_counts(counts, keys, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    result = reduce(lambda a, b: a.join(b, keys), (means, spread, quartiles)).select(
-        *keys,
+    return base.join(spread, keys).select(
+        *by,
         *[F.col(c).alias(prefix + c) for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")],
     )
-    return result if by else result.drop("_all")
 
 
 def describe(df, by, column, prefix=""):
