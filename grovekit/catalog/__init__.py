@@ -1,6 +1,6 @@
 """Registered queries and their DuckDB counterparts."""
 
-from grovekit.catalog import profile, text, tree  # noqa: F401
+from grovekit.catalog import compare, io, profile, text, tree  # noqa: F401
 from grovekit.catalog.registry import ORACLE, QUERIES
 
 

@@ -77,6 +77,12 @@ def type_entropy(shares):
     )
 
 
+def order_entropy(entropies):
+    """Ranks from the highest entropy down; one row per language."""
+    order = Window.orderBy(F.desc("entropy_bits"), "language")
+    return entropies.withColumn("rank", F.row_number().over(order))
+
+
 def type_cosine(shares):
     """Cosine of the distributions of every two languages.
 

@@ -7,7 +7,7 @@ from grovekit.fixed import (
 )
 from grovekit.functions.names import extract_name
 from grovekit.functions.nodes import category, graph_colour, graph_label, snippet
-from grovekit.functions.text import double_or_zero, int_or_zero, source_hash
+from grovekit.functions.text import double_or_zero, int_or_zero, let, source_hash
 from grovekit.operators.trees import prune
 
 
@@ -29,15 +29,20 @@ def categorized_count(nodes, record):
     return nodes.groupBy(record).agg(F.count("category").cast("int").alias("categorized_nodes"))
 
 
-def _index_of(entries):
-    """Category struct from an array of (id, category) in id order."""
-    def ids(wanted):
-        return F.transform(F.filter(entries, lambda e: e["category"] == wanted), lambda e: e["id"])
+def _index_of(nodes):
+    """Category struct from an array of nodes in id order."""
+    held = F.filter(nodes, lambda n: n["category"].isNotNull())
+    return let(
+        F.transform(held, lambda n: F.struct(n["category"].alias("category"), n["id"].alias("id"))),
+        lambda entries: F.struct(*[
+            F.struct(*[_ids(entries, f"{group}.{name}").alias(name) for name in names]).alias(group)
+            for group, names in CATEGORY_FIELDS.items()
+        ]),
+    )
+
 
-    return F.struct(*[
-        F.struct(*[ids(f"{group}.{name}").alias(name) for name in names]).alias(group)
-        for group, names in CATEGORY_FIELDS.items()
-    ])
+def _ids(entries, wanted):
+    return F.transform(F.filter(entries, lambda e: e["category"] == wanted), lambda e: e["id"])
 
 
 def category_index(nodes, record):
@@ -83,64 +88,57 @@ def universal_records(samples, nodes, record):
     """``(record, universal)`` for every usable sample; null where there is no tree.
 
     ``samples`` has ``record, language, code, line_count, avg_line_length``; ``nodes`` is
-    the raw node table of the samples with points. Per record, nodes and child links are
-    grouped once; categories, map and counts are read off the grouped array.
+    the raw node table of the samples with points. Nodes are grouped once per record;
+    child lists, categories, map and counts are read off the grouped arrays.
     """
     pruned = with_category(prune(nodes, record))
-    named = pruned.join(samples.select(record, "language"), record)
-    declared = F.col("category").isin("declarations.functions", "declarations.classes")
-    named = named.withColumn("name", F.when(declared, extract_name("text", "language")))
-
-    body = F.struct(
-        "id", "type", "text", "parent", "start_point", "end_point", "category", "name",
-    )
-    is_root = F.col("seq") == 0
-    owners = named.select(
-        record, "id", "keep", "parent", "direct",
-        F.when(F.col("keep"), body).alias("_body"),
-        F.when(is_root, F.col("type")).alias("_root"),
-    ).withColumn(
-        "_role", F.explode(F.when(F.col("direct"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    )
-    own = F.col("_role") == 0
-    linked = owners.select(
-        record,
-        F.when(own, F.coalesce("id", F.lit(-1))).otherwise(F.col("parent")).alias("_owner"),
-        F.when(own, F.col("_body")).alias("_body"),
-        F.when(own, F.col("_root")).alias("_root"),
-        F.when(~own, F.col("id")).alias("_child"),
-    )
-    with_children = linked.groupBy(record, "_owner").agg(
-        F.first("_body", True).alias("_body"),
-        F.first("_root", True).alias("_root"),
-        F.sort_array(F.collect_list("_child")).alias("_children"),
-    )
-    entry = F.when(F.col("_body").isNotNull(), F.struct(
-        F.col("_body.id").alias("id"), F.col("_body.type").alias("type"),
-        F.col("_body.text").alias("text"), F.col("_body.parent").alias("parent"),
-        F.col("_children").alias("children"),
-        F.col("_body.start_point").alias("start_point"), F.col("_body.end_point").alias("end_point"),
-        F.col("_body.category").alias("category"), F.col("_body.name").alias("name"),
+    entry = F.when(F.col("keep"), F.struct(
+        "id", "type", "text", "parent", "start_point", "end_point", "category",
     ))
-    trees = with_children.groupBy(record).agg(
-        F.max("_root").alias("_root"), F.sort_array(F.collect_list(entry)).alias("_nodes"),
-    )
+    link = F.when(F.col("direct"), F.struct("parent", "id"))
+    trees = pruned.groupBy(record).agg(
+        F.max(F.when(F.col("seq") == 0, F.col("type"))).alias("_root"),
+        F.sort_array(F.collect_list(entry)).alias("_nodes"),
+        F.collect_list(link).alias("_links"),
+    ).withColumn("_children", _child_lists(F.size("_nodes"), F.col("_links"))).drop("_links")
     return samples.join(trees, record, "left").select(
-        record, F.when(F.col("_root").isNotNull(), _record()).cast(RECORD_TYPE).alias("universal")
+        record, F.when(F.col("_root").isNotNull(), _record()).alias("universal")
     )
 
 
+def _child_lists(count, links):
+    """Children per node id as comma-separated text, from (parent, id) pairs.
+
+    Every node gets a marker that sorts before its children; the sorted ids are written
+    in a row and split at the markers, which takes one pass however many nodes there are.
+    """
+    marker = F.lit(-1)
+    marks = F.when(count > 0, F.transform(
+        F.sequence(F.lit(0), count - 1), lambda i: F.struct(i.alias("parent"), marker.alias("id"))
+    )).otherwise(F.array().cast("array<struct<parent:int,id:int>>"))
+    row = F.transform(
+        F.sort_array(F.concat(marks, links)),
+        lambda pair: F.when(pair["id"] == marker, ";").otherwise(
+            F.concat(pair["id"].cast("string"), F.lit(","))),
+    )
+    return F.split(F.array_join(row, ""), ";", -1)
+
+
 def _record():
     nodes = F.col("_nodes")
 
+    def children(i):
+        listed = F.rtrim(F.get(F.col("_children"), i + 1), F.lit(","))
+        return F.when(listed == "", F.array().cast("array<int>")).otherwise(
+            F.split(listed, ",").cast("array<int>"))
+
     def declared(wanted, label):
-        held = F.filter(nodes, lambda n: (
-            (n["category"] == wanted) & (n["text"] != "") & n["name"].isNotNull()
-        ))
-        return F.transform(held, lambda n: F.struct(
+        held = F.filter(nodes, lambda n: (n["category"] == wanted) & (n["text"] != ""))
+        named = F.transform(held, lambda n: F.struct(
             n["id"].alias("node_id"), F.lit(label).alias("universal_type"),
-            n["name"].alias("name"), snippet(n["text"]).alias("text_snippet"),
+            extract_name(n["text"], "language").alias("name"), snippet(n["text"]).alias("text_snippet"),
         ))
+        return F.filter(named, lambda e: e["name"].isNotNull())
 
     imports = F.filter(
         nodes, lambda n: (n["category"] == "declarations.imports") & (n["text"] != "")
@@ -157,10 +155,11 @@ def _record():
         ).alias("metadata"),
         F.struct(
             F.col("_root").alias("root"),
-            F.transform(nodes, lambda n: F.struct(*[
-                n[f].alias(f)
-                for f in ("id", "type", "text", "parent", "children", "start_point", "end_point")
-            ])).alias("nodes"),
+            F.transform(nodes, lambda n, i: F.struct(
+                *[n[f].alias(f) for f in ("id", "type", "text", "parent")],
+                children(i).alias("children"),
+                n["start_point"].alias("start_point"), n["end_point"].alias("end_point"),
+            )).alias("nodes"),
         ).alias("ast"),
         _index_of(nodes).alias("node_categories"),
         F.struct(
@@ -234,9 +233,6 @@ def record_violations(df, record, json, languages=DECLARED_LANGUAGES):
             found = found | F.coalesce(~kind.isin(*kinds), F.lit(True))
         return found
 
-    by_id = F.map_from_arrays(
-        F.transform(F.col("_tree"), lambda n, i: i), F.transform(F.col("_tree"), lambda n: n["parent"])
-    )
     checks = [
         *_problems(value, "", REQUIRED_TOP),
         F.when((_kind(F.try_variant_get(value, "$.language", "variant")) == "STRING")
@@ -248,7 +244,7 @@ def record_violations(df, record, json, languages=DECLARED_LANGUAGES):
                F.lit("node ids not dense")),
         F.when(F.exists(F.col("_tree"), lambda n: n["parent"] >= n["id"]), F.lit("parent after node")),
         F.when(F.exists(F.col("_tree"), lambda n: F.exists(
-            n["children"], lambda c: F.coalesce(F.try_element_at(by_id, c) != n["id"], F.lit(True)))),
+            n["children"], lambda c: F.coalesce(F.get(F.col("_tree"), c)["parent"] != n["id"], F.lit(True)))),
             F.lit("child of another parent")),
     ]
     found = F.filter(F.array(*checks), lambda c: c.isNotNull())

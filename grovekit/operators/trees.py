@@ -13,6 +13,7 @@ from grovekit.functions.nodes import skip_flag
 from grovekit.functions.text import dump_node_count, error_count, lines
 
 _TAG = r"(</?[a-zA-Z][a-zA-Z0-9]*[^>]*>)"
+_PIECE = 256
 _DUMP_LINE = r'(?s)^( *)\((.*?)\) "(.*)"$'
 
 
@@ -162,27 +163,30 @@ def node_text(nodes, samples, record, code="code", mode="reference"):
     """Slice of the source per node, from byte offsets.
 
     ``reference`` applies the byte offsets to characters, which shifts text behind a
-    character of several bytes; ``corrected`` slices bytes. The source is laid out at a
-    fixed width once per record, so a slice costs its own length only.
+    character of several bytes; ``corrected`` slices bytes. The source is cut into short
+    pieces once per record, so a slice costs its own length and not its distance from
+    the start.
     """
     if mode not in ("reference", "corrected"):
         raise ValueError(f"unknown mode: {mode}")
     text = F.col(code)
-    narrow = (F.octet_length(text) == F.length(text)) | F.lit(mode == "corrected")
-    laid_out = samples.select(
-        record,
-        F.when(narrow, 1).otherwise(4).alias("_width"),
-        F.when(narrow, F.encode(text, "UTF-8")).otherwise(F.encode(text, "UTF-32")).alias("_data"),
-    )
-    width = F.col("_width")
-    piece = F.substring(
-        F.col("_data"), (F.col("start_byte") * width + 1).cast("int"),
-        ((F.col("end_byte") - F.col("start_byte")) * width).cast("int"),
+    if mode == "corrected":
+        # One character per byte.
+        text = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    start, size = F.col("start_byte").cast("int"), (F.col("end_byte") - F.col("start_byte")).cast("int")
+    first = F.call_function("div", start, F.lit(_PIECE)).cast("int")
+    last = F.call_function("div", start + size - 1, F.lit(_PIECE)).cast("int")
+    offset = start % _PIECE + 1
+    sliced = F.when(size <= 0, "").when(
+        first == last, F.coalesce(F.substring(F.get("_pieces", first), offset, size), F.lit(""))
+    ).otherwise(
+        F.substring(F.array_join(F.slice("_pieces", first + 1, last - first + 1), ""), offset, size)
     )
-    # An explicit byte order mark keeps a mark that belongs to the text.
-    wide = F.decode(F.concat(F.unhex(F.lit("0000FEFF")), piece), "UTF-32")
-    sliced = F.when(width == 1, F.decode(piece, "UTF-8")).otherwise(wide)
-    return nodes.drop("text").join(laid_out, record).withColumn("text", sliced).drop("_width", "_data")
+    if mode == "corrected":
+        sliced = F.decode(F.encode(sliced, "ISO-8859-1"), "UTF-8")
+    cut = samples.select(record, pieces.alias("_pieces"))
+    return nodes.drop("text").join(cut, record).withColumn("text", sliced).drop("_pieces")
 
 
 def nearest_above(nodes, record, level, found, name, when=None):
