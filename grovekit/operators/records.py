@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from grovekit.fixed import (
-    CATEGORY_FIELDS, DECLARED_LANGUAGES, RECORD_TYPE,
+    CATEGORY_FIELDS, DECLARED_LANGUAGES, LANGUAGES, RECORD_TYPE,
 )
 from grovekit.functions.names import extract_name
 from grovekit.functions.nodes import category, graph_colour, graph_label, snippet
-from grovekit.functions.text import double_or_zero, int_or_zero, let, source_hash
+from grovekit.functions.text import (
+    double_or_zero, int_or_zero, invalid_reason, let, normalize_language, source_hash,
+)
 from grovekit.operators.trees import prune
 
 
@@ -84,8 +86,8 @@ def is_import_kind():
     return F.col("kind") == "import_statements"
 
 
-def universal_records(samples, nodes, record):
-    """``(record, universal)`` for every usable sample; null where there is no tree.
+def universal_records(samples, nodes, record, languages=LANGUAGES):
+    """Samples with ``universal``, their record; null for unusable rows and without a tree.
 
     ``samples`` has ``record, language, code, line_count, avg_line_length``; ``nodes`` is
     the raw node table of the samples with points. Nodes are grouped once per record;
@@ -101,9 +103,9 @@ def universal_records(samples, nodes, record):
         F.sort_array(F.collect_list(entry)).alias("_nodes"),
         F.collect_list(link).alias("_links"),
     ).withColumn("_children", _child_lists(F.size("_nodes"), F.col("_links"))).drop("_links")
-    return samples.join(trees, record, "left").select(
-        record, F.when(F.col("_root").isNotNull(), _record()).alias("universal")
-    )
+    usable = F.col("_root").isNotNull() & invalid_reason("language", "code", languages).isNull()
+    joined = samples.join(trees, record, "left").withColumn("_language", normalize_language("language"))
+    return joined.select(*samples.columns, F.when(usable, _record()).alias("universal"))
 
 
 def _child_lists(count, links):
@@ -136,7 +138,7 @@ def _record():
         held = F.filter(nodes, lambda n: (n["category"] == wanted) & (n["text"] != ""))
         named = F.transform(held, lambda n: F.struct(
             n["id"].alias("node_id"), F.lit(label).alias("universal_type"),
-            extract_name(n["text"], "language").alias("name"), snippet(n["text"]).alias("text_snippet"),
+            extract_name(n["text"], "_language").alias("name"), snippet(n["text"]).alias("text_snippet"),
         ))
         return F.filter(named, lambda e: e["name"].isNotNull())
 
@@ -145,7 +147,7 @@ def _record():
     )
     categorized = F.size(F.filter(nodes, lambda n: n["category"].isNotNull()))
     return F.struct(
-        F.col("language"),
+        F.col("_language").alias("language"),
         F.lit(True).alias("success"),
         F.struct(
             int_or_zero("line_count").alias("lines"),

@@ -184,7 +184,7 @@ def node_text(nodes, samples, record, code="code", mode="reference"):
         F.substring(F.array_join(F.slice("_pieces", first + 1, last - first + 1), ""), offset, size)
     )
     if mode == "corrected":
-        sliced = F.decode(F.encode(sliced, "ISO-8859-1"), "UTF-8")
+        sliced = F.encode(sliced, "ISO-8859-1").cast("string")
     cut = samples.select(record, pieces.alias("_pieces"))
     return nodes.drop("text").join(cut, record).withColumn("text", sliced).drop("_pieces")
 
