@@ -68,7 +68,7 @@ def tag_nodes(spark, d):
 
 @query("tag_depth", f"with {TAGS} select page_id, seq, depth, type, text from page_nodes")
 def _(spark, d):
-    return tag_nodes(spark, d).drop("language")
+    return tag_nodes(spark, d).drop("language", "previous_depth")
 
 
 # Dumps: every node of a page, and every document.
@@ -137,7 +137,7 @@ def _pick(names, i):
 
 
 def retyped(nodes):
-    return nodes.withColumn("type", (
+    return nodes.drop("parent_seq", "parent_type").withColumn("type", (
         F.when(F.col("depth") == 0, "program").when(F.col("depth") == 1, _pick(_LINE_TYPES, F.col("seq")))
         .otherwise(_pick(_TOKEN_TYPES, F.col("seq")))))
 

@@ -36,7 +36,8 @@ def text_nodes(df, record, text, carry=()):
     """Document, line and token nodes of a text.
 
     Offsets count characters (``start``, ``end``) and UTF-8 bytes (``start_byte``,
-    ``end_byte``); points are a row and a byte column.
+    ``end_byte``); points are a row and a byte column. Parents and the depth of the node
+    before are known here and come along.
     """
     placed = df.select(record, F.col(text).alias("_text"), *carry).repartition(record)
     by_line = placed.select(
@@ -58,25 +59,31 @@ def text_nodes(df, record, text, carry=()):
     def passed(size):
         return F.coalesce(F.sum(F.when(token, size + 1).otherwise(0)).over(order), F.lit(0))
 
+    whole = F.col("row") < 0
+    depth = F.when(whole, 0).when(~token, 1).otherwise(2)
     numbered = exploded.select(
-        record, *carry, "row", "_k", "text",
+        record, *carry, "row", "_k", "text", depth.alias("depth"),
+        F.last(F.when(kept, depth), True).over(order).alias("previous_depth"),
         F.coalesce(F.sum(kept.cast("int")).over(order), F.lit(0)).cast("int").alias("seq"),
         passed(F.length("text")).alias("start"),
         passed(F.octet_length("text")).alias("start_byte"),
     )
-    line_byte = F.last(F.when(~token, F.col("start_byte")), True).over(
+    so_far = (
         Window.partitionBy(record).orderBy("row", "_k")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    whole = F.col("row") < 0
     size, byte_size = F.length("text"), F.octet_length("text")
     last_line = F.element_at(lines("text"), -1)
     return (
-        numbered.withColumn("_line_byte", line_byte)
+        numbered.withColumns({
+            "_line_byte": F.last(F.when(~token, F.col("start_byte")), True).over(so_far),
+            "_line_seq": F.last(F.when(~token, F.col("seq")), True).over(so_far),
+        })
         .where(kept)
         .select(
-            record, *carry, "seq",
-            F.when(whole, 0).when(~token, 1).otherwise(2).alias("depth"),
+            record, *carry, "seq", "depth", "previous_depth",
+            F.when(token, F.col("_line_seq")).when(~whole, 0).alias("parent_seq"),
+            F.when(token, "line").when(~whole, "document").alias("parent_type"),
             F.when(whole, "document").when(~token, "line").otherwise(token_type("text")).alias("type"),
             "text", "start", (F.col("start") + size).alias("end"),
             "start_byte", (F.col("start_byte") + byte_size).alias("end_byte"),
@@ -117,8 +124,9 @@ def tag_nodes(df, record, html, carry=()):
             "depth": F.greatest(F.lit(0), F.coalesce(F.sum(step).over(order), F.lit(0)).cast("int")),
             "seq": F.coalesce(F.sum((~closing).cast("int")).over(order), F.lit(0)).cast("int"),
         })
+        .withColumn("previous_depth", F.last(F.when(~closing, F.col("depth")), True).over(order))
         .where(~closing)
-        .select(record, *carry, "seq", "depth", "type", "text")
+        .select(record, *carry, "seq", "depth", "previous_depth", "type", "text")
     )
 
 
@@ -216,6 +224,7 @@ def nearest_above(nodes, record, level, found, name, when=None):
 
 def with_parent(nodes, record):
     """Add ``parent_seq`` and ``parent_type``; null for roots."""
+    nodes = nodes.drop("parent_seq", "parent_type")
     found = nearest_above(nodes, record, "depth", ["seq", "type"], "_up")
     return found.select(
         *nodes.columns, F.col("_up.seq").alias("parent_seq"), F.col("_up.type").alias("parent_type")
@@ -235,14 +244,13 @@ def with_kept_depth(nodes, record):
     back; the running balance of kept openings is the number of kept ancestors.
     """
     others = [c for c in nodes.columns if c != record]
-    previous = F.lag("depth").over(Window.partitionBy(record).orderBy("seq"))
+    if "previous_depth" not in nodes.columns:
+        nodes = nodes.withColumn(
+            "previous_depth", F.lag("depth").over(Window.partitionBy(record).orderBy("seq")))
     closed = F.when(
-        F.col("_previous") >= F.col("depth"), F.sequence(F.col("depth"), F.col("_previous"))
+        F.col("previous_depth") >= F.col("depth"), F.sequence(F.col("depth"), F.col("previous_depth"))
     ).otherwise(F.array().cast("array<int>"))
-    events = (
-        nodes.withColumn("_previous", previous)
-        .withColumn("_level", F.explode(F.concat(F.array(F.lit(-1)), closed)))
-    )
+    events = nodes.withColumn("_level", F.explode(F.concat(F.array(F.lit(-1)), closed)))
     opens = F.col("_level") < 0
     events = events.select(
         record,
@@ -269,12 +277,16 @@ def with_kept_depth(nodes, record):
 def prune(nodes, record):
     """Kept nodes with dense ids, nearest kept ancestor and direct-child flag.
 
+    Columns ``parent_seq`` and ``parent_type``, ``previous_depth`` and ``keep`` are taken
+    where the node table has them.
+
     Roots of the raw tree stay as rows without an id, so that their type is known.
     """
-    flagged = nodes
+    if "parent_seq" not in nodes.columns:
+        nodes = with_parent(nodes, record)
     if "keep" not in nodes.columns:
-        flagged = with_keep(with_parent(nodes, record))
-    deep = with_kept_depth(flagged, record).where(F.col("keep") | (F.col("seq") == 0))
+        nodes = with_keep(nodes)
+    deep = with_kept_depth(nodes, record).where(F.col("keep") | (F.col("seq") == 0))
     linked = nearest_above(deep, record, "kept_depth", ["id", "seq"], "_up", when=F.col("keep"))
     return linked.select(
         *deep.columns,
