@@ -200,14 +200,15 @@ def node_text(nodes, samples, record, code="code", mode="reference"):
 def nearest_above(nodes, record, level, found, name, when=None):
     """Struct ``name`` of the last row before each row that stands one level up.
 
-    Every row is placed twice, as a possible parent on its own level and as a question
-    one level up; the last parent before a question answers it. Only questions carry the
-    other columns.
+    Every row is placed one level up as a question, and rows that can be parents (``when``)
+    on their own level too; the last parent before a question answers it. Only questions
+    carry the other columns.
     """
     parent = F.struct(*found)
-    parent = parent if when is None else F.when(when, parent)
+    both = F.array(F.lit(0), F.lit(1))
+    places = both if when is None else F.when(when, both).otherwise(F.array(F.lit(1)))
     placed = nodes.select(
-        record, F.col("seq"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_asks"),
+        record, F.col("seq"), F.explode(places).alias("_asks"),
         *[c for c in nodes.columns if c not in (record, "seq")],
     )
     asks = F.col("_asks") == 1
@@ -237,40 +238,52 @@ def with_keep(nodes):
 
 
 def with_kept_depth(nodes, record):
-    """Add ``kept_depth``, the number of kept ancestors, and the dense ``id`` of kept nodes.
+    """Add ``kept_depth``, the number of kept ancestors, ``has_children`` and the dense ``id``
+    of kept nodes.
 
-    A node closes the open nodes at its own depth and below. Openings and closings
-    alternate on every depth of a record, so a closing finds what it closes one row
-    back; the running balance of kept openings is the number of kept ancestors.
+    A first child adds the node before it, its parent, to the kept ancestors. A node
+    above the depth of the one before takes off what it leaves: the open inner node of
+    every depth from its own up to the one before, which is the last node on that depth
+    and so one row back among the events of the depth. The running balance is the answer.
     """
     others = [c for c in nodes.columns if c != record]
     if "previous_depth" not in nodes.columns:
         nodes = nodes.withColumn(
             "previous_depth", F.lag("depth").over(Window.partitionBy(record).orderBy("seq")))
-    closed = F.when(
-        F.col("previous_depth") >= F.col("depth"), F.sequence(F.col("depth"), F.col("previous_depth"))
+    left = F.when(
+        F.col("previous_depth") > F.col("depth"),
+        F.sequence(F.col("depth"), F.col("previous_depth") - 1),
     ).otherwise(F.array().cast("array<int>"))
-    events = nodes.withColumn("_level", F.explode(F.concat(F.array(F.lit(-1)), closed)))
-    opens = F.col("_level") < 0
+    events = nodes.withColumn("_level", F.explode(F.concat(F.array(F.lit(-1)), left)))
+    is_node = F.col("_level") < 0
     events = events.select(
         record,
         F.col("seq").alias("_at"),
-        F.when(opens, F.col("depth")).otherwise(F.col("_level")).alias("_level"),
-        F.when(opens, 1).otherwise(0).alias("_opens"),
-        *[F.when(opens, F.col(c)).alias(c) for c in others],
+        F.when(is_node, F.col("depth")).otherwise(F.col("_level")).alias("_level"),
+        F.when(is_node, 1).otherwise(0).alias("_node"),
+        F.when(is_node, F.col("depth") > F.col("previous_depth")).alias("_first"),
+        *[F.when(is_node, F.col(c)).alias(c) for c in others],
+    )
+    on_level = Window.partitionBy(record, "_level").orderBy("_at", "_node")
+    events = events.withColumn("_left", F.lag("keep").over(on_level))
+    is_node = F.col("_node") == 1
+    in_order = Window.partitionBy(record).orderBy("_at", "_node")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    balance = (
+        F.when(~is_node, -F.col("_left").cast("int"))
+        .when(F.col("_first"), F.col("_above").cast("int"))
+        .otherwise(0)
     )
-    on_level = Window.partitionBy(record, "_level").orderBy("_at", "_opens")
-    events = events.withColumn("_closed", F.lag("keep").over(on_level))
-    opens = F.col("_opens") == 1
-    balance = F.when(opens, F.col("keep").cast("int")).otherwise(-F.col("_closed").cast("int"))
-    order = _before("_at", "_opens", by=[record])
     return (
-        events.withColumns({
-            "kept_depth": F.coalesce(F.sum(balance).over(order), F.lit(0)).cast("int"),
-            "id": F.coalesce(F.sum(F.when(opens & F.col("keep"), 1)).over(order), F.lit(0)).cast("int"),
+        events.withColumn("_above", F.last(F.when(is_node, F.col("keep")), True).over(before))
+        .withColumns({
+            "kept_depth": F.sum(balance).over(so_far).cast("int"),
+            "id": F.coalesce(F.sum(F.when(is_node & F.col("keep"), 1)).over(before), F.lit(0)).cast("int"),
+            "has_children": F.coalesce(F.lead("_first").over(in_order), F.lit(False)),
         })
-        .where(opens)
-        .select(record, *others, "kept_depth", F.when(F.col("keep"), F.col("id")).alias("id"))
+        .where(is_node)
+        .select(record, *others, "kept_depth", "has_children", F.when(F.col("keep"), F.col("id")).alias("id"))
     )
 
 
@@ -287,7 +300,9 @@ def prune(nodes, record):
     if "keep" not in nodes.columns:
         nodes = with_keep(nodes)
     deep = with_kept_depth(nodes, record).where(F.col("keep") | (F.col("seq") == 0))
-    linked = nearest_above(deep, record, "kept_depth", ["id", "seq"], "_up", when=F.col("keep"))
+    linked = nearest_above(
+        deep, record, "kept_depth", ["id", "seq"], "_up",
+        when=F.col("keep") & F.col("has_children"))
     return linked.select(
         *deep.columns,
         F.when(F.col("keep"), F.col("_up.id")).alias("parent"),

@@ -22,6 +22,7 @@ def local_session(name="grovekit", cores="*", partitions=8, memory="20g"):
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
