@@ -55,6 +55,7 @@ def category_index(nodes, record):
     )
 
 
+_DECLARED = ("declarations.functions", "declarations.classes")
 _MAPPED = {
     "declarations.functions": ("function_declarations", "function"),
     "declarations.classes": ("class_declarations", "class"),
@@ -134,13 +135,20 @@ def _record():
         return F.when(listed == "", F.array().cast("array<int>")).otherwise(
             F.split(listed, ",").cast("array<int>"))
 
-    def declared(wanted, label):
-        held = F.filter(nodes, lambda n: (n["category"] == wanted) & (n["text"] != ""))
-        named = F.transform(held, lambda n: F.struct(
-            n["id"].alias("node_id"), F.lit(label).alias("universal_type"),
-            extract_name(n["text"], "_language").alias("name"), snippet(n["text"]).alias("text_snippet"),
+    held = F.filter(nodes, lambda n: n["category"].isin(*_DECLARED) & (n["text"] != ""))
+    named = F.filter(
+        F.transform(held, lambda n: F.struct(
+            n["category"].alias("category"), n["id"].alias("node_id"), n["text"].alias("text"),
+            extract_name(n["text"], "_language").alias("name"),
+        )),
+        lambda e: e["name"].isNotNull(),
+    )
+
+    def declared(entries, wanted, label):
+        return F.transform(F.filter(entries, lambda e: e["category"] == wanted), lambda e: F.struct(
+            e["node_id"].alias("node_id"), F.lit(label).alias("universal_type"),
+            e["name"].alias("name"), snippet(e["text"]).alias("text_snippet"),
         ))
-        return F.filter(named, lambda e: e["name"].isNotNull())
 
     imports = F.filter(
         nodes, lambda n: (n["category"] == "declarations.imports") & (n["text"] != "")
@@ -164,13 +172,13 @@ def _record():
             )).alias("nodes"),
         ).alias("ast"),
         _index_of(nodes).alias("node_categories"),
-        F.struct(
-            declared("declarations.functions", "function").alias("function_declarations"),
-            declared("declarations.classes", "class").alias("class_declarations"),
+        let(named, lambda entries: F.struct(
+            declared(entries, "declarations.functions", "function").alias("function_declarations"),
+            declared(entries, "declarations.classes", "class").alias("class_declarations"),
             F.transform(imports, lambda n: F.struct(
                 n["id"].alias("node_id"), n["text"].alias("text"),
             )).alias("import_statements"),
-        ).alias("cross_language_map"),
+        )).alias("cross_language_map"),
         F.col("code").alias("original_source_code"),
     )
 

@@ -37,11 +37,8 @@ def shared_folder(spark):
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
-        folder = os.path.join(tempfile.gettempdir(), f"grovekit-{os.getpid()}")
-    else:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_grovekit"
-    spark.conf.set(_CHECKPOINT_KEY, folder)
-    return folder
+        return os.path.join(tempfile.gettempdir(), f"grovekit-{os.getpid()}")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_grovekit"
 
 
 def cut_lineage(df):
