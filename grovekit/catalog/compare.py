@@ -115,6 +115,12 @@ def _(spark, d):
     return rounded(D.type_cosine(shares(spark, d)), "sim")
 
 
+@query("pairwise", f"""with {COSINES} select m.language as a, n.language as b, round(coalesce(dot, 0), 6) as dot
+from norms m cross join norms n left join dots d on d.a = m.language and d.b = n.language""")
+def _(spark, d):
+    return rounded(D.pairwise(shares(spark, d)), "dot")
+
+
 @query("distance_pairs", f"""with {COSINES} select a, b, case when a = b then 0.0::double else abs(round(1 - sim, 6)) end as distance from cosines""")
 def _(spark, d):
     pairs = D.distance_pairs(D.type_cosine(shares(spark, d)))

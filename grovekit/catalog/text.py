@@ -191,6 +191,17 @@ def _(spark, d):
     return report.withColumn("percent_removed", r6("percent_removed"))
 
 
+# The whole preparation: seeded sample, bounds, cleaning, clean metrics.
+@query("prepare_corpus", f"""with {SAMPLES}, {_MARKED}, ranked as (select *, row_number() over (partition by language
+    order by md5(cast(doc_id as varchar) || '_42'), doc_id) as r from marked),
+measured as (select *, {RAW_AVG} as avg_line_length, {RAW_COUNT} as line_count from ranked where r <= 200), {FENCED}, {capped('fenced')},
+spaced as (select doc_id, language, replace({_TRIMMED}, '<|endoftext|>', '') as code from capped where not {_DROP}), {_CLEAN}
+select doc_id, language, cast(avg_line_length as double) as avg_line_length, line_count from metrics""")
+def _(spark, d):
+    return P.prepare(marked(samples(spark, d)), "doc_id", per_language=200).select(
+        "doc_id", "language", "avg_line_length", "line_count")
+
+
 # Missing and unsupported languages and empty texts.
 def spoiled(df):
     i = F.col("doc_id")

@@ -372,9 +372,18 @@ def converted(spark, d):
     return C.convert_samples(coded, "doc_id")
 
 
-@query("convert_samples", f"""with {SAMPLES} select coalesce(file, 'TOTAL') as file, count(*) as total_rows,
+@query("convert_folder", f"""with {SAMPLES} select coalesce(file, 'TOTAL') as file, count(*) as total_rows,
     count(*) filter (where doc_id % 19 <> 0 and code <> '') as successful_conversions,
     round(count(*) filter (where doc_id % 19 <> 0 and code <> '') / count(*), 6) as success_rate
 from samples group by rollup (file)""")
 def _(spark, d):
     return rounded(C.convert_folder_summary(converted(spark, d)), "success_rate")
+
+
+@query("convert_samples", f"""with {SAMPLES} select doc_id, file, doc_id % 19 <> 0 and code <> '' as converted,
+    case when doc_id % 19 <> 0 and code <> '' then sha256(code) else '' end as source_hash from samples""")
+def _(spark, d):
+    found = F.get_json_object("universal_schema", "$.metadata.source_hash")
+    return converted(spark, d).select(
+        "doc_id", "file", F.col("universal_schema").isNotNull().alias("converted"),
+        F.coalesce(found, F.lit("")).alias("source_hash"))

@@ -83,24 +83,30 @@ def order_entropy(entropies):
     return entropies.withColumn("rank", F.row_number().over(order))
 
 
-def type_cosine(shares):
-    """Cosine of the distributions of every two languages.
+def pairwise(weights, weight="p"):
+    """Dot product of the type weights of every two languages.
 
     Only types two languages share meet in the join. A row of weight zero per language
     under one reserved type makes pairs without a common type come out as zero.
     """
+    reserved = weights.select("language").distinct().select(
+        "language", F.lit("").alias("type"), F.lit(0.0).alias(weight))
+    weights = weights.select("language", "type", weight).unionByName(reserved)
+    left = weights.select(F.col("language").alias("a"), "type", F.col(weight).alias("wa"))
+    right = weights.select(F.col("language").alias("b"), "type", F.col(weight).alias("wb"))
+    return (
+        left.join(right, "type").groupBy("a", "b")
+        .agg(F.sum(F.col("wa") * F.col("wb")).alias("dot"))
+    )
+
+
+def type_cosine(shares):
+    """Cosine of the distributions of every two languages."""
     norms = shares.groupBy("language").agg(F.sqrt(F.sum(F.col("p") * F.col("p"))).alias("norm"))
     scaled = shares.join(norms, "language").select(
         "language", "type", (F.col("p") / F.col("norm")).alias("w")
     )
-    reserved = norms.select("language", F.lit("").alias("type"), F.lit(0.0).alias("w"))
-    weights = scaled.unionByName(reserved)
-    left = weights.select(F.col("language").alias("a"), "type", F.col("w").alias("wa"))
-    right = weights.select(F.col("language").alias("b"), "type", F.col("w").alias("wb"))
-    return (
-        left.join(right, "type").groupBy("a", "b")
-        .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
-    )
+    return pairwise(scaled, "w").withColumnRenamed("dot", "sim")
 
 
 def distance_pairs(similarity):
