@@ -52,12 +52,18 @@ def quantiles_of_counts(counts, by, probabilities, values=None):
     rows where the caller knows one.
     """
     if (counts.count() if values is None else values) <= BUILT_IN_VALUES:
-        return counts.groupBy(*by).agg(*_built_in(probabilities))
+        return _built_in(counts, by, probabilities)
     return bucketed_quantiles(counts, by, probabilities)
 
 
-def _built_in(probabilities):
-    return [F.percentile("value", float(p), F.col("cnt")).alias(n) for n, p in probabilities.items()]
+def _built_in(counts, keys, probabilities, *others):
+    """Further aggregates and all quantiles from one buffer of values per key."""
+    wanted = [float(p) for p in probabilities.values()]
+    found = counts.groupBy(*keys).agg(
+        *others, F.percentile("value", wanted, F.col("cnt")).alias("_quantiles"))
+    return found.withColumns({
+        name: F.get("_quantiles", F.lit(i)) for i, name in enumerate(probabilities)
+    }).drop("_quantiles")
 
 
 def bucketed_quantiles(counts, by, probabilities):
@@ -143,7 +149,7 @@ def describe_counts(counts, by, prefix=""):
     ]
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     if counts.count() <= BUILT_IN_VALUES:
-        base = counts.groupBy(*keys).agg(*moments, *_built_in(quartiles))
+        base = _built_in(counts, keys, quartiles, *moments)
     else:
         base = counts.groupBy(*keys).agg(*moments).join(
             bucketed_quantiles(counts, keys, quartiles), keys)
