@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import idstore
+from grovekit.llm import idstore, packing
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -23,3 +23,9 @@ def op3_token_store(spark, folder):
     path = idstore.write_store(_table(spark, folder, "documents"), stage_path(spark, "token-store"))
     return idstore.read_store(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op2_pattern_packing(spark, folder):
+    return packing.pack(_table(spark, folder, "documents")).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
