@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import idstore, packing
+from grovekit.llm import benchmark, idstore, packing
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -29,3 +29,11 @@ def op3_token_store(spark, folder):
 def op2_pattern_packing(spark, folder):
     return packing.pack(_table(spark, folder, "documents")).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@_query
+def op5_prefix_decontamination(spark, folder):
+    found = benchmark.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), "contaminated")
