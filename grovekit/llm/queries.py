@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import benchmark, idstore, packing
+from grovekit.llm import benchmark, idstore, minhash, packing
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -37,3 +37,9 @@ def op5_prefix_decontamination(spark, folder):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@_query
+def op6_minhash_near_duplicates(spark, folder):
+    return minhash.near_duplicates(_table(spark, folder, "documents")).withColumn(
+        "n_shingles", F.col("n_shingles").cast("long"))
