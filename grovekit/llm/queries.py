@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import benchmark, idstore, minhash, packing
+from grovekit.llm import benchmark, idstore, lines, minhash, packing, toxicity
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -43,3 +43,35 @@ def op5_prefix_decontamination(spark, folder):
 def op6_minhash_near_duplicates(spark, folder):
     return minhash.near_duplicates(_table(spark, folder, "documents")).withColumn(
         "n_shingles", F.col("n_shingles").cast("long"))
+
+
+@_query
+def op4_site_spread_lines(spark, folder):
+    out = lines.remove_boilerplate(_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+CORPUS_SQL["op4_site_spread_lines"] = """
+with lines as (
+  select doc_id, source, trim(line) as line, pos, raw from (
+    select doc_id, source, unnest(string_split(text, chr(10))) as line, unnest(string_split(text, chr(10))) as raw,
+           unnest(range(len(string_split(text, chr(10))))) as pos from documents)
+), spread as (
+  select line, min(doc_id) as first from lines where line <> '' group by line having count(distinct source) >= 8
+), marked as (
+  select l.doc_id, l.pos, l.raw, s.line is not null and l.doc_id <> s.first as gone
+  from lines l left join spread s on l.line = s.line
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_removed,
+       sha256(coalesce(string_agg(raw, chr(10) order by pos) filter (where not gone), '')) as text_sha256
+from marked group by doc_id
+"""
+
+
+@_query
+def op8_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
