@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
-from grovekit.llm.tokens import Encoder, default_path
+from grovekit.llm.tokens import default_path, encoder
 
 END_ID = 0
 SAMPLES = 2_000
@@ -48,11 +48,14 @@ def _documents(df):
 
 def train_dictionary(docs, tokenizer=None, samples=SAMPLES):
     """Dictionary trained on the serialized ids of at most ``samples`` short documents."""
+    drawn = F.xxhash64("doc_id", "text")
+    # A hash sieve leaves about twice as many as are wanted, so few reach the driver from each task.
+    sieve = max(1, docs.count() // (2 * samples))
     rows = (
-        _documents(docs).where(F.length("text").between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(samples).select("text").collect()
+        _documents(docs).where((F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(sieve)) == 0) & F.length("text").between(1, SAMPLE_CHARS))
+        .orderBy(drawn, "doc_id").limit(samples).select("text").collect()
     )
-    arrays = [_narrow(ids, 2) for ids in Encoder(tokenizer or default_path())([r.text for r in rows])]
+    arrays = [_narrow(ids, 2) for ids in encoder(tokenizer or default_path())([r.text for r in rows])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes() if len(arrays) >= 16 else b""
     except zstandard.ZstdError:  # too little or too uniform to train on
@@ -82,7 +85,7 @@ def write_store(docs: DataFrame, path: str, tokenizer=None, end_id=END_ID, sampl
         from pyspark import TaskContext
 
         part, shard, ids_before = TaskContext.get().partitionId(), 0, 0
-        encoder = Encoder(tokenizer)
+        encode_ids = encoder(tokenizer)
         pack = zstandard.ZstdCompressor(level=_LEVEL, write_content_size=True, **_codec(dictionary))
         tail = np.array([end_id], "<u4").tobytes()
         keys, counts, frames, size = [], [], [], 0
@@ -95,7 +98,7 @@ def write_store(docs: DataFrame, path: str, tokenizer=None, end_id=END_ID, sampl
                 [digest], [keys], [offsets.tolist()], [counts], [b"".join(frames)]])
 
         for batch in slices(batches):
-            ids_of = encoder(batch.column("text").to_pylist())
+            ids_of = encode_ids(batch.column("text").to_pylist())
             for key, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
                 ids += tail
                 frames.append(pack.compress(_narrow(ids, width)))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
-from grovekit.llm.tokens import Encoder, default_path
+from grovekit.llm.tokens import default_path, encoder
 from grovekit.session import staged
 
 SIZE = 1024
@@ -40,11 +40,11 @@ def cut_into_pieces(docs: DataFrame, size=SIZE, end_id=END_ID, tokenizer=None) -
     def cut(batches):
         from pyspark import TaskContext
 
-        encoder, tail = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        encode_ids, tail = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         key = TaskContext.get().partitionId() << 40
         for batch in slices(batches, 256):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_ids(batch.column("text").to_pylist())):
                 ids += tail
                 n = len(ids) // 4
                 stops = range((n - 1) % size + 1, n + 1, size)
