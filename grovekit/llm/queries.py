@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import benchmark, idstore, lines, minhash, packing, toxicity
+from grovekit.llm import benchmark, chat, idstore, lines, minhash, packing, toxicity, urls, vectors
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -75,3 +75,61 @@ def op8_toxicity(spark, folder):
     return scored.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op7_chat_prefix_tree(spark, folder):
+    added = spark.createDataFrame(
+        [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")],
+        "conv_id long, turn long, role string, text string")
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    read = chat.read_back(*chat.prefix_tree(rows))
+    whole = F.array_join(F.flatten(F.transform("turns", lambda t: F.array(F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+CORPUS_SQL["op7_chat_prefix_tree"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped as (
+  select *, replace(replace(replace(text, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>') as body,
+         replace(replace(replace(replace(role, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>'), ':', '\:') as head
+  from turns
+)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length(head) + length(body) + length('### :') + length('</turn>') + 2)::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+
+@_query
+def op9_projection_neighbours(spark, folder):
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+CORPUS_SQL["op9_projection_neighbours"] = """
+with recursive usable as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as materialized (
+  select a.vec_id as u, b.vec_id as v from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(u, v) as (
+  select u, v from links union select r.u, l.v from reach r join links l on r.v = l.u
+), counted as (select u, count(*) as n from links group by u), smallest as (select u, min(v) as m from reach group by u)
+select e.vec_id, coalesce(n, 0) as n_links, least(e.vec_id, coalesce(m, e.vec_id)) as component_id,
+       e.vec_id = least(e.vec_id, coalesce(m, e.vec_id)) as kept
+from embeddings e left join counted c on e.vec_id = c.u left join smallest s on e.vec_id = s.u
+"""
+
+
+@_query
+def op1_url_filter(spark, folder):
+    return urls.judge(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
