@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.llm import benchmark, chat, idstore, lines, minhash, packing, toxicity, urls, vectors
+from grovekit.llm import benchmark, chat, idstore, lines, minhash, packing, secrets, toxicity, urls, vectors
 from grovekit.session import stage_path
 
 CORPUS_QUERIES = {}
@@ -133,3 +133,20 @@ from embeddings e left join counted c on e.vec_id = c.u left join smallest s on
 @_query
 def op1_url_filter(spark, folder):
     return urls.judge(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query
+def op10_secret_battery(spark, folder):
+    found = secrets.find_secrets(_table(spark, folder, "documents"))
+
+    def counted(kind):
+        return F.size(F.filter("spans", lambda x: x["rank"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        name = F.array(*[F.lit(k) for k in secrets.KINDS])
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(name, x["rank"]), x["start"], x["end"])), ",")
+
+    base = F.filter("spans", lambda x: x["rank"] < secrets.KINDS.index("random"))
+    return found.select(
+        "doc_id", counted("assign"), counted("access"), counted("hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
