@@ -1,5 +1,6 @@
 """Registered queries of the corpus operators; each derives its columns from an operator's output."""
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from grovekit.llm import benchmark, chat, idstore, lines, minhash, packing, secrets, toxicity, urls, vectors
@@ -150,3 +151,12 @@ def op10_secret_battery(spark, folder):
     return found.select(
         "doc_id", counted("assign"), counted("access"), counted("hex"),
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@_query
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    CORPUS_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,14 +1,14 @@
 """Toxicity by a learned lexicon, matched through spelling variants and read in context.
 
-Learning. Documents that hold a word, and documents that hold a word with a given stem, are
-counted by label over all labelled rows. Words and stems that speak for the label are
+Learning. On at most ``rows`` labelled documents, chosen by hash, those that hold a word, and
+those that hold a word with a given stem, are counted by label. Words and stems that speak for the label are
 candidates; on at most ``sample`` labelled toxic documents, chosen by hash, the smallest set
 that explains them is picked greedily, so that words which merely stand beside a toxic term
 drop out. Matching. The trie of the lexicon is intersected with the Levenshtein automaton of
 distance one; the result is made deterministic as words are read, so a word costs a few
 table lookups and almost all die after some letters. Context. A hit is quoted if quotation
 marks open before it and close after it within ``CONTEXT`` words. Hits on entries that are
-almost always toxic, other hits and varied spellings, each plain or quoted, are four signs; how often each combination is toxic is learned from all labelled
+almost always toxic, other hits and varied spellings, each plain or quoted, are four signs; how often each combination is toxic is learned from the same
 rows and smoothed towards the sum of the single signs.
 
 Scores depend on the text alone. Defined results: null and empty texts have no signs and get
@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
+from grovekit.session import staged
 
 TERMS = 2_000
+ROWS = 100_000
 SAMPLE = 20_000
 CANDIDATES = 20_000
 CONTEXT = 8
@@ -162,13 +164,16 @@ class Model:
             math.log(rate / (1 - rate)) + math.copysign(0.02 * min(hits, 50), rate - 0.5))))
 
 
-def _labelled(docs, labels):
-    """Texts with their label, each once; held-out rows are left out before anything else."""
+def _labelled(docs, labels, rows):
+    """Texts with their label, of at most ``rows`` labelled ids that are not held out, chosen by hash."""
     toxic = F.col("toxic").cast("int")
     known = labels.where(F.col("doc_id").isNotNull() & toxic.isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max(toxic).alias("toxic"))
-    rows = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(known, "doc_id")
-    return rows.select("text", "toxic")
+    sieve = max(1, known.count() // rows)
+    drawn = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(sieve)) == 0).orderBy(F.xxhash64(F.lit("drawn"), "doc_id")).limit(rows)
+    # At most ``rows`` pairs of numbers, so texts need not move to meet their labels.
+    texts = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    return staged(texts.join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "toxicity-labelled")
 
 
 def _counts(rows):
@@ -228,9 +233,9 @@ def _choose(candidates, texts):
     return chosen
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample=SAMPLE) -> Model:
-    """Model learned from the labels of rows that are not held out."""
-    rows = _labelled(docs, labels)
+def fit(docs: DataFrame, labels: DataFrame, rows=ROWS, sample=SAMPLE) -> Model:
+    """Model learned from at most ``rows`` labelled documents that are not held out."""
+    rows = _labelled(docs, labels, rows)
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic + clean:
