@@ -8,6 +8,7 @@ given. Empty tables pass through; null texts are kept until packing, where they
 from pyspark.sql import functions as F
 
 from grovekit.llm import benchmark, lines, minhash, packing, toxicity
+from grovekit.llm.names import fresh
 from grovekit.session import staged
 
 
@@ -18,7 +19,8 @@ def _side_table(spark, sf_dir, name):
 def reject_toxic(spark, docs, sf_dir):
     """Documents that score below one half."""
     model = toxicity.fit(docs, _side_table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, name="_score").where("_score < 0.5").drop("_score")
+    name = fresh(docs, "_score")
+    return toxicity.score(docs, model, name=name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_boilerplate(spark, docs, sf_dir):

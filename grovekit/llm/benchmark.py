@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
+from grovekit.llm.names import fresh
 from grovekit.llm.words import WordHasher, alnum_words, shingle_hashes
 from grovekit.session import staged
 
@@ -218,6 +219,7 @@ def contamination(docs: DataFrame, items: DataFrame, window=WINDOW, shingle=SHIN
 def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """Documents that are not contaminated, with all their columns."""
     # The decision depends on the text alone, so it holds for every row with that text.
+    key = fresh(docs, "_text")
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    found = contamination(texts, items, **options).where("contaminated").select(F.col("doc_id").alias("_text")).distinct()
-    return docs.withColumn("_text", F.xxhash64("text")).join(found, "_text", "left_anti").drop("_text")
+    found = contamination(texts, items, **options).where("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, F.xxhash64("text")).join(found, key, "left_anti").drop(key)

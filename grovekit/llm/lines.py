@@ -16,6 +16,7 @@ replaced; columns named n_lines or n_removed are replaced by ours.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grovekit.llm.names import fresh
 from grovekit.session import staged
 
 MIN_SITES = 8
@@ -57,20 +58,22 @@ def remove_boilerplate(docs: DataFrame, min_sites=MIN_SITES, id_column="doc_id",
     often = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("key")
     keys = staged(keys.join(often, "key", "left_semi"), "line-keys")
     boilerplate = staged(site_spread(keys, min_sites, **options), "line-boilerplate")
+    ours, gone, kept, n = (fresh(docs, x) for x in ("_ours", "_gone", "_kept", "_n"))
     # Several lines of a document may go, never more than it has.
     going = (
         keys.join(boilerplate, "key").where(~F.col("id").eqNullSafe(F.col("first")) | F.col("first").isNull())
-        .groupBy("id").agg(F.collect_set("key").alias("__going"))
+        .groupBy(F.col("id").alias(ours)).agg(F.collect_set("key").alias(gone))
     )
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains("__going", _key(F.trim(x))))
-    found = docs.join(going.withColumnRenamed("id", "__id"), F.col(id_column).eqNullSafe(F.col("__id")), "left")
-    hit = F.col("__going").isNotNull() & F.col("text").isNotNull()
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    changed = found.withColumn("__kept", F.when(hit, kept)).withColumn("__n", n_lines)
+    left = F.filter(lines, lambda x: ~F.array_contains(gone, _key(F.trim(x))))
+    hit = F.col(gone).isNotNull() & F.col("text").isNotNull()
+    changed = (
+        docs.join(going, F.col(id_column).eqNullSafe(F.col(ours)), "left").withColumn(kept, F.when(hit, left))
+        .withColumn(n, F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)))
+    )
     return changed.select(
-        *[F.when(hit, F.array_join("__kept", "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)
+        *[F.when(hit, F.array_join(kept, "\n")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`")
           for c in docs.columns if c not in ("n_lines", "n_removed")],
-        F.col("__n").cast("long").alias("n_lines"),
-        F.when(hit, F.col("__n") - F.size("__kept")).otherwise(0).cast("long").alias("n_removed"),
+        F.col(n).cast("long").alias("n_lines"),
+        F.when(hit, F.col(n) - F.size(kept)).otherwise(0).cast("long").alias("n_removed"),
     )

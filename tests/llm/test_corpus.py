@@ -1,0 +1,523 @@
+"""Corpus operators against plain computations on small fixtures."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import sys
+from pathlib import Path
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parents[2])]
+from helpers import documents, odd_rows, text, words  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from grovekit.llm import (  # noqa: E402
+    benchmark, chat, components, idstore, lines, minhash, packing, secrets, tokens, toxicity, urls, vectors,
+)
+from grovekit.llm.queries import CORPUS_QUERIES  # noqa: E402
+from grovekit.session import stage_path  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return documents(spark, odd_rows(), clashing=True).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return documents(spark, [], clashing=True)
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    t = Tokenizer.from_file(tokens.default_path())
+    t.encode_special_tokens = True
+    return lambda x: t.encode(x or "", add_special_tokens=False).ids
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+# tokens
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([" ", "  ", "\n", "\n\n", "\t", "a", "Été", "don't", "12", "²", ".", ",", "!!", "<|endoftext|>",
+                                 "\x1c", "日本", "🙂", "_", "\r\n", "x.", "|", "#", "\u00a0", "\u200b"]), max_size=12))
+def test_encoder_equals_tokenizer(pieces):
+    t = Tokenizer.from_file(tokens.default_path())
+    t.encode_special_tokens = True
+    whole = "".join(pieces)
+    assert np.frombuffer(tokens.encoder(tokens.default_path())([whole])[0], "<u4").tolist() == t.encode(whole, add_special_tokens=False).ids
+
+
+# id store
+
+def test_store_round_trip(spark, odd, plain_tokenizer):
+    path = idstore.write_store(odd, stage_path(spark, "test-store"))
+    got = sorted(rows(idstore.read_store(spark, path).select("start", "doc_id", "n_tokens", "ids")))
+    ids = [tuple(np.frombuffer(bytes(r[3]), "<u4").tolist()) for r in got]
+    assert Counter(ids) == Counter(tuple(plain_tokenizer(t) + [0]) for _, t, _ in odd_rows())
+    assert [r[0] for r in got] == np.cumsum([0] + [r[2] for r in got[:-1]]).tolist()
+    keys = [r[1] for r in got]
+    assert keys[0] is None and keys[1:] == sorted(keys[1:])
+    one = rows(idstore.read_store(spark, path, doc_id=5))
+    assert len(one) == 1 and one[0][:3] == next((r[1], r[0], r[2]) for r in got if r[1] == 5)
+
+
+def test_store_uses_its_dictionary(spark):
+    path = idstore.write_store(documents(spark, [(i, text(i, 150), "a") for i in range(200)]), stage_path(spark, "test-store"))
+    head = spark.read.parquet(f"{path}/dictionary").head()
+    assert len(head.dictionary) > 0 and hashlib.sha256(bytes(head.dictionary)).hexdigest() == head.sha256
+    assert idstore.read_store(spark, path).count() == 200
+
+
+def test_store_of_nothing(spark, none):
+    assert idstore.read_store(spark, idstore.write_store(none, stage_path(spark, "test-store"))).count() == 0
+
+
+# packing
+
+def test_packing_places_every_piece(spark, odd, plain_tokenizer):
+    size = 64
+    got = rows(packing.pack(odd, size=size).select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"))
+    expected = Counter()
+    for doc_id, t, _ in odd_rows():
+        ids = plain_tokenizer(t) + [2]
+        first = (len(ids) - 1) % size + 1
+        cuts = [0, *range(first, len(ids) + 1, size)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[doc_id, i, a, b - a, np.array(ids[a:b], "<u4").tobytes()] += 1
+    assert Counter((*r[:4], bytes(r[4])) for r in got) == expected
+    held = defaultdict(list)
+    for r in got:
+        held[r[5]].append((r[6], r[3]))
+    for places in held.values():
+        places.sort()
+        assert [p for p, _ in places] == np.cumsum([0] + [n for _, n in places[:-1]]).tolist() and sum(n for _, n in places) <= size
+    whole = {r.sequence_id: bytes(r.ids) for r in packing.sequences(packing.pack(odd, size=size)).collect()}
+    assert sum(map(len, whole.values())) == 4 * sum(r[3] for r in got)
+
+
+def test_packing_of_nothing(none):
+    assert packing.pack(none).count() == 0
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.integers(0, 400), min_size=33, max_size=33))
+def test_plan_uses_up_the_histogram(counts):
+    counts[0] = 0
+    used = Counter()
+    plan = packing.plan(counts)
+    for lengths, repeats in plan:
+        assert sum(lengths) <= 32 and repeats > 0
+        for n in lengths:
+            used[n] += repeats
+    assert used == Counter({n: c for n, c in enumerate(counts) if c})
+
+
+def test_plan_is_close_to_the_bound():
+    rng = np.random.default_rng(3)
+    counts = np.bincount(np.minimum(1024, rng.lognormal(5.5, 1, 60_000).astype(int) + 1), minlength=1025)
+    need = -(-int((counts * np.arange(1025)).sum()) // 1024)
+    assert sum(r for _, r in packing.plan(counts)) <= 1.002 * need
+
+
+# benchmark
+
+def _contamination(docs, items, window=13):
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    windows = defaultdict(set)
+    for item, t in items:
+        w = split(t)
+        n = min(window, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[i:i + n])].add(str(item))
+    out = []
+    for doc_id, t in docs:
+        w, hit, found = split(t), set(), set()
+        for n in {len(x) for x in windows}:
+            for i in range(len(w) - n + 1):
+                if tuple(w[i:i + n]) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[tuple(w[i:i + n])]
+        out.append((doc_id, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
+    return out
+
+
+def test_contamination_equals_plain_search(spark):
+    items = [(1, " ".join(words(1, 40))), (2, " ".join(words(1, 40))), (3, "Four short Words here"), (4, None), (5, ""), (6, "solo"),
+             (7, " ".join(words(7, 13))), (8, " ".join(words(8, 7)))]
+    w = words(1, 40)
+    docs = [
+        (1, " ".join(words(50, 30) + w[5:25] + words(51, 30))), (2, ", ".join(w).upper()), (3, "four SHORT-words, here"), (4, None), (5, ""),
+        (6, " ".join(words(60, 3000) + ["solo"] + words(61, 3000))), (None, " ".join(w[:13])), (8, " ".join(w[:12])),
+        (9, " ".join(words(8, 7) * 5)), (9, " ".join(words(8, 7) * 5)), (10, " ".join((w[:13] + ["x"]) * 300)),
+    ]
+    df = spark.createDataFrame([(*d, "x", "y") for d in docs], "doc_id long, text string, window string, key string")
+    bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, class string")
+    got = [(r.doc_id, r.n_words, r.n_hit, sorted(r.item_ids), r.contaminated) for r in benchmark.contamination(df, bench).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(got, key=order) == sorted(_contamination(docs, [i for i in items]), key=order)
+    kept = benchmark.drop_contaminated(df, bench)
+    assert kept.columns == df.columns
+    clean = Counter(d for d, e in zip(docs, _contamination(docs, items)) if not e[4])
+    assert Counter(rows(kept.select("doc_id", "text"))) == clean
+
+
+def test_contamination_of_nothing(spark, odd, none):
+    items = spark.createDataFrame([], "item_id long, text string")
+    assert not any(r.contaminated for r in benchmark.contamination(odd, items).collect())
+    assert benchmark.contamination(none, items).count() == 0
+    assert benchmark.drop_contaminated(odd, items).count() == odd.count()
+
+
+# line dedup
+
+def _boilerplate(docs, least):
+    sites, first = defaultdict(set), {}
+    for doc_id, t, s in docs:
+        for x in (t or "").split("\n"):
+            x = x.strip(" ")
+            if x:
+                sites[x] |= {s} - {None}
+                if doc_id is not None:
+                    first[x] = min(first.get(x, doc_id), doc_id)
+    gone = {x for x, s in sites.items() if len(s) >= least}
+    out = []
+    for doc_id, t, s in docs:
+        kept = [x for x in (t or "").split("\n") if x.strip(" ") not in gone or (first.get(x.strip(" ")) == doc_id and doc_id is not None)]
+        out.append((doc_id, None if t is None else "\n".join(kept)))
+    return out
+
+
+def test_boilerplate_equals_plain_count(spark):
+    rng = random.Random(4)
+    docs = [(i, "\n".join(rng.choice([f"line {rng.randint(0, 30)}", f" own {i} ", "", f"rare {rng.randint(0, 300)}"]) for _ in range(8)),
+             rng.choice([None, *"abcdefgh"])) for i in range(120)]
+    docs += [(None, "line 1\nline 2", "a"), (5, docs[5][1], docs[5][2]), (500, None, "a"), (501, "", "b"), (502, "line 3\n" * 3000, "c")]
+    df = documents(spark, docs, clashing=True)
+    got = lines.remove_boilerplate(df, min_sites=5)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    assert Counter(rows(got.select("doc_id", "text"))) == Counter(_boilerplate(docs, 5))
+
+
+def test_boilerplate_far_above_the_band_needs_no_exact_count(spark):
+    docs = documents(spark, [(i, "same line\nown %d" % i, f"site{i}") for i in range(60)])
+    out = lines.remove_boilerplate(docs, min_sites=8).where("n_removed = 1")
+    assert out.count() == 59
+
+
+def test_boilerplate_of_nothing(none):
+    assert lines.remove_boilerplate(none).count() == 0
+
+
+# near-duplicates
+
+def _components(docs, percent=85):
+    sets = {}
+    for doc_id, t, _ in docs:
+        w = (t or "").encode().lower().split()
+        k = min(5, len(w))
+        sets[doc_id] = {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if k else set()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+@pytest.mark.parametrize("small", [64, 3])
+def test_near_duplicates_equal_all_pairs(spark, small):
+    rng = random.Random(8)
+    docs = [(i, t, s) for i, (_, t, s) in enumerate(odd_rows())]
+    base = words(77, 150)
+    for i in range(100, 170):  # a group of near copies, some linked only through others, some with nothing
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 6])):
+            w[rng.randrange(150)] = words(i * 1000 + rng.randrange(999), 1)[0]
+        docs.append((i, " ".join(w), "a"))
+    df = documents(spark, docs, clashing=True)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df, small=small).collect()}
+    assert got == {i: (n, c, i == c) for i, (n, c) in _components(docs).items()}
+    kept = minhash.keep_one_each(df, small=small)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, (_, c) in _components(docs).items() if i == c]
+
+
+def test_near_duplicates_of_odd_rows(odd, none):
+    got = rows(minhash.near_duplicates(odd).select("doc_id", "component_id", "kept"))
+    assert len(got) == len(odd_rows()) and {(1, 1, True), (2, 1, False), (10, 1, False), (3, 3, True)} <= set(got)
+    assert sum(r.doc_id == 9 for r in minhash.keep_one_each(odd).collect()) == 1
+    assert minhash.near_duplicates(none).count() == 0 and minhash.keep_one_each(none).count() == 0
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (1, 2)]
+    got = dict(rows(components.connected_components(spark.createDataFrame(edges, "u long, v long"))))
+    assert got == {i: 1 for i in range(1, 61)} | {i: 100 for i in range(100, 160)}
+
+
+# toxicity
+
+def test_matcher_is_within_one_edit():
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = _next(row, x, b, i)
+        return row[-1]
+
+    def _next(row, x, b, i):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        return new
+
+    terms = ["abcde", "badec", "cabbage", "edcba"]
+    match = toxicity.Matcher([(t, False, True) for t in terms] + [("zz", True, True), ("weak", False, False)])
+    rng = random.Random(2)
+    for _ in range(3000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randint(0, 1)] = rng.choice(["", "a", "b", "e", "xq"])
+        w = "".join(w)
+        if w.startswith("zz"):
+            continue
+        least = min(distance(w, t) for t in terms)
+        assert match(w) == (2 if least == 0 else int(least == 1)), w
+    assert (match("zzz"), match("zz"), match("weak"), match("weaks"), match("")) == (2, 2, 1, 0, 0)
+
+
+def test_toxicity_learns_terms_and_keeps_out_held_out_labels(spark):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in range(400):
+        w, toxic = words(i, 40), int(i % 5 == 0)
+        if toxic:
+            w[rng.randrange(40)] = rng.choice(["wretchq", "vilexq", "scumxy"])
+        docs.append((i, " ".join(w), "a"))
+        # Held-out labels are wrong on purpose.
+        labels.append((i, 0, toxic if zlib.crc32(str(i).encode()) % 5 else 1 - toxic))
+    docs += [(1000, None, "a"), (1001, "", "a"), (None, "a wretchq b", "a"), (1002, "you wretchqq", "a")]
+    df = documents(spark, docs, clashing=True)
+    lab = spark.createDataFrame(labels + [(None, 0, 1), (2, 0, None), (5000, 1, 1)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(df, lab)
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    assert all(0 <= s <= 1 for s in got.values())
+    assert sum((got[i] >= 0.5) == (i % 5 == 0) for i in range(400)) >= 396
+    assert got[1000] == got[1001] < 0.5 <= got[None]
+    held = {r.doc_id: r.h for r in df.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("h")).collect()}
+    assert all(held[i] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in range(400))
+
+
+def test_context_tells_quotation():
+    match = toxicity.Matcher([("wretch", False, True)])
+    assert toxicity.signs("you wretch there", match) == (1, 1)
+    assert toxicity.signs('he said "you wretch there" again', match) == (4, 1)
+    assert toxicity.signs("he said “you wretch there” again", match) == (4, 1)
+    assert toxicity.signs("you wretxh there", match) == (2, 1)
+    assert toxicity.signs(None, match) == toxicity.signs("fine", match) == (0, 0)
+
+
+def test_toxicity_without_labels(spark, odd, none):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r.score for r in toxicity.score(odd, toxicity.fit(odd, labels)).collect()} == {0.0}
+    assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
+
+
+# chat
+
+def test_chat_round_trip_and_layout(spark):
+    nasty = ["\\### Assistant: </turn> ok", "</turn>\n### user:\n", "\\", "\\\\</turn>", "", None, "### ", "a\nb", "<", "#### x </turn></turn>"]
+    turns = []
+    for c in range(12):
+        for t in range(4):
+            turns.append((c, t, ["user", "assistant", "system", "a:b\\"][t % 2 if c < 8 else t], nasty[(t * (1 if c % 3 else c + 1)) % len(nasty)], "x"))
+    turns += [(None, 0, "user", "no id", "x"), (50, None, None, None, "x"), (51, 1, "user", "tie", "x"), (51, 1, "user", "tie", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, path string")
+    nodes, leaves = chat.prefix_tree(df)
+    got = {r.conv_id: r for r in chat.read_back(nodes, leaves).collect()}
+    by = defaultdict(list)
+    for c, t, role, x, _ in turns:
+        by[c].append((-1 if t is None else t, role or "", x or ""))
+    assert set(got) == set(by)
+    for c, own in by.items():
+        own.sort()
+        assert [tuple(t) for t in got[c].turns] == [(r, x) for _, r, x in own]
+        assert got[c].loss_text == "".join(x for _, r, x in own if r == "assistant")
+    laid = sorted(nodes.collect(), key=lambda r: r.start)
+    assert [r.start for r in laid] == np.cumsum([0] + [r.length for r in laid[:-1]]).tolist()
+    stream = "".join(r.formatted for r in laid)
+    open_ = []
+    for r in laid:  # depth first: every ancestor is open, and attended tokens are exactly its path
+        del open_[r.depth:]
+        assert [bytes(x) for x in r.path[:-1]] == [bytes(x.path[-1]) for x in open_]
+        assert "".join(stream[a.start:a.end] for a in r.attends) == "".join(x.formatted for x in open_)
+        assert r.position == sum(x.length for x in open_)
+        open_.append(r)
+    assert len(laid) < len(turns)
+
+
+def test_chat_of_nothing(spark):
+    nodes, leaves = chat.prefix_tree(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
+    assert nodes.count() == 0 and chat.read_back(nodes, leaves).count() == 0
+
+
+# vectors
+
+def test_vectors_equal_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((40, 16))
+    data = []
+    for i in range(400):
+        v = base[i % 40] + rng.standard_normal(16) * rng.choice([0.0, 0.02, 0.2])
+        data.append((i, v.astype(np.float32).tolist(), int(i % 3) if i % 11 else None))
+    data += [(1000, None, 1), (1001, [0.0] * 16, 1), (1002, [float("nan")] * 16, 1), (1003, [None] + [1.0] * 15, 1), (1004, [float("inf")] + [0.0] * 15, 1),
+             (1005, [], 1), (None, data[1][1], data[1][2]), (1006, [1.0, 2.0], 1), (1007, [2.0, 4.0], 1), (1008, [-0.0, 1.0], 1), (1009, [0.0, 1.0], 1)]
+    df = spark.createDataFrame([(*d, "x") for d in data], "vec_id long, embedding array<float>, label int, node string")
+    links = defaultdict(set)
+    usable = [(k, i, np.float32(v).astype(float), label) for k, (i, v, label) in enumerate(data)
+              if v and label is not None and None not in v and np.isfinite(v).all() and np.any(v)]
+    for k, _, a, x in usable:
+        for m, _, b, y in usable:
+            if k != m and x == y and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.98:
+                links[k].add(m)
+
+    def reach(k):
+        seen, todo = {k}, [k]
+        while todo:
+            for m in links[todo.pop()] - seen:
+                seen.add(m)
+                todo.append(m)
+        return min((data[m][0] for m in seen if data[m][0] is not None), default=None)
+
+    expected = Counter((d[0], len(links[k]), reach(k)) for k, d in enumerate(data))
+    got = vectors.near_duplicates(df, window=16)
+    assert Counter(rows(got.select("vec_id", "n_links", "component_id"))) == expected
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.collect())
+
+
+def test_vectors_of_nothing(spark):
+    assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+# secrets
+
+def test_secret_spans_equal_plain_search(spark):
+    parts = ["token=", "Secret: 'abcdef12'", "api_key=\"AbC/12+xyz\"", "AKIA" + "ABCDEFGHIJ012345", "AKIA12", "deadbeef" * 4, "é🙂 ", "password = x", "token=token\":\"abcdefg",
+             "passwd:=abcdef", "\n", " ", "00ff" * 6, "0" * 23]
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(300)] + [None, "", "ab " * 20_000 + "secret=hunter22"]
+    df = documents(spark, [(i, t, "a") for i, t in enumerate(texts)] + [(None, texts[0], "a")], clashing=True)
+    got = {r.doc_id: [(s.start, s.rank, s.end) for s in r.spans if s.rank < 3] for r in secrets.find_secrets(df).collect()}
+    a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    for i, t in enumerate(texts):
+        t = t or ""
+        spans = [(m.start(), 0, m.end()) for m in a.finditer(t) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        assert got[i] == sorted(spans), t
+    assert secrets.find_secrets(documents(spark, [])).count() == 0
+
+
+def test_battery_finds_random_strings_and_no_words(spark):
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    docs, planted = [], {}
+    for i in range(400):
+        w = words(i, 80) + ["".join(words(i + 10_000, 6))]
+        if i % 2:
+            planted[i] = "".join(rng.choice(letters) for _ in range(40))
+            w.insert(30, planted[i])
+        docs.append((i, " ".join(w), "a"))
+    found = {r.doc_id: [s.value for s in r.spans if s.rank == 3] for r in secrets.find_secrets(documents(spark, docs)).collect()}
+    right = sum(found[i] == [planted[i]] for i in planted)
+    assert right >= 0.7 * len(planted)
+    assert sum(len([v for v in f if v != planted.get(i)]) for i, f in found.items()) <= 0.06 * right
+
+
+# urls
+
+def test_rules_and_parts(spark):
+    cases = {
+        "http://a.example.org/es/x?q": ("a.example.org", "/es/x", "example.org/es/", "block"),
+        "HTTPS://EXAMPLE.org/en/12#t": ("example.org", "/en/12", "example.org/en/1", "block"),
+        "x://b.org": ("b.org", "", None, None), "x://b.org/": ("b.org", "/", "org/", "allow"),
+        "http://notexample.org/es/": ("notexample.org", "/es/", "org/", "allow"), "http://x.com/fr/1": ("x.com", "/fr/1", "com/fr/", "allow"),
+        "http://com/de/1": ("com", "/de/1", "com/de/", "block"), "http://xcom/de/": ("xcom", "/de/", None, None),
+        "no scheme.org/": ("", "", None, None), "a://b?c://d/e": ("b", "", None, None), None: ("", "", None, None), "": ("", "", None, None),
+        "a://É.ORG/\n/é": ("É.org", "/\n/é", "org/", "allow"),
+    }
+    df = spark.createDataFrame([(i, u, "<p>some words</p>", "x") for i, u in enumerate(cases)], "page_id long, url string, html string, host string")
+    got = {r.page_id: r for r in urls.judge(df).collect()}
+    for i, (u, (host, path, rule, verdict)) in enumerate(cases.items()):
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule), u
+        assert got[i].verdict == verdict if verdict else got[i].verdict in ("allow", "block")
+
+
+def test_segmentation_is_the_best_split():
+    counts = {"new": 50, "york": 30, "newy": 1, "ork": 1, "times": 40, "time": 60, "s": 2}
+    assert urls.segment("newyorktimes", counts, 200) == ["new", "york", "times"]
+    assert urls.segment("", counts, 200) == [] and "".join(urls.segment("zzqnewx", counts, 200)) == "zzqnewx"
+
+
+def test_verdict_follows_learned_words(spark):
+    good, bad = ["garden", "music", "river"], ["casino", "poker", "bets"]
+    rng = random.Random(1)
+    pages = []
+    for i in range(300):
+        kind = i % 2
+        name = "".join(rng.choice((good, bad)[kind]) for _ in range(2))
+        # de is blocked and fr allowed by rule; net is judged by the model
+        tail = ("com/fr/1", "com/de/1")[kind] if i < 200 else "net/en/1"
+        pages.append((i, f"http://{name}.{tail}", f"<p>{' '.join(good + bad)}</p><script>casinopoker</script>"))
+    pages += [(500, None, None), (501, "x", None), (0, pages[0][1], pages[0][2])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(df).collect()}
+    assert all(got[i] == ("allow", "block")[i % 2] for i in range(300))
+    assert urls.judge(df.where("false")).count() == 0
+
+
+# queries and pipeline
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES if n.startswith("op")) == list(range(1, 11)) and "pipeline" in CORPUS_QUERIES
+
+
+def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
+    labels = spark.createDataFrame([(1, 1, 0), (7, 1, 1)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "one"), (2, None)], "item_id long, text string")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for start in (odd, none):
+        docs = start
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, docs, str(tmp_path))
+            path = f"{tmp_path}/{name}-{start is odd}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if i < len(corpus_pipeline.STAGES) - 1:
+                assert docs.columns == start.columns
+        assert docs.count() >= (5 if start is odd else 0)
