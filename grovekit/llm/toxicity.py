@@ -1,18 +1,22 @@
 """Toxicity by a learned lexicon, matched through spelling variants and read in context.
 
-Learning. On at most ``rows`` labelled documents, chosen by hash, those that hold a word, and
-those that hold a word with a given stem, are counted by label. Words and stems that speak for the label are
-candidates; on at most ``sample`` labelled toxic documents, chosen by hash, the smallest set
-that explains them is picked greedily, so that words which merely stand beside a toxic term
-drop out. Matching. The trie of the lexicon is intersected with the Levenshtein automaton of
-distance one; the result is made deterministic as words are read, so a word costs a few
-table lookups and almost all die after some letters. Context. A hit is quoted if quotation
-marks open before it and close after it within ``CONTEXT`` words. Hits on entries that are
-almost always toxic, other hits and varied spellings, each plain or quoted, are four signs; how often each combination is toxic is learned from the same
-rows and smoothed towards the sum of the single signs.
+Learning. Of at most ``rows`` labelled documents, chosen by hash, those that hold a word, and
+those that hold a word with a given stem, are counted by label. Words and stems that speak
+for the label are candidates; on at most ``sample`` toxic ones the smallest set that explains
+them is picked greedily, so that words which merely stand beside a toxic term drop out.
+
+Matching. The trie of the lexicon is intersected with the Levenshtein automaton of distance
+one; the result is made deterministic as words are read, so a word costs a few table lookups
+and almost all die after some letters.
+
+Context. A hit is quoted if quotation marks open before it and close after it within
+``CONTEXT`` words. Hits on entries that are
+almost always toxic, other hits and varied spellings, each plain or quoted, are four signs;
+how often each combination is toxic is learned from the same rows and smoothed towards the
+sum of the single signs. A text without signs is never predicted toxic.
 
 Scores depend on the text alone. Defined results: null and empty texts have no signs and get
-the learned rate of such texts; labels without a document, null labels and null ids teach
+the learned rate of texts without signs; labels without a document, null labels and null ids teach
 nothing; of several labels of an id the highest counts; without any labelled row all scores
 are 0; an empty table gives no rows. A column named like ``name`` is replaced.
 """
@@ -32,8 +36,8 @@ from grovekit.session import staged
 
 TERMS = 2_000
 ROWS = 100_000
-SAMPLE = 20_000
-CANDIDATES = 20_000
+SAMPLE = 5_000
+CANDIDATES = 5_000
 CONTEXT = 8
 FOLDS = 5
 _STEMS = range(4, 8)
@@ -284,6 +288,8 @@ def _rates(rows, model):
             logit += math.log((seen[1] + 0.5) / (total[1] + 1)) - math.log((seen[0] + 0.5) / (total[0] + 1))
         expected = 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
         rates.append(float((n[bits][1] + 2 * expected) / (n[bits].sum() + 2)))
+    # Without a sign nothing speaks against a text, whatever few labels say.
+    rates[0] = min(rates[0], 0.49)
     return rates
 
 
