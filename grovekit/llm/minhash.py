@@ -34,14 +34,15 @@ from pyspark.sql.window import Window
 
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
 from grovekit.llm.components import connected_components
+from grovekit.llm.names import fresh
 from grovekit.llm.words import WordHasher, mixed, shingle_set, space_words
 from grovekit.session import cut_lineage, staged
 
 SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 26, 5
-SMALL = 24
-_HUBS = 4
+SMALL = 64
+_FIRST_HUBS, _MOST_HUBS = 4, 64
 _SEED = 20_240_601
 _SKETCH = "doc_id long, class binary, n_shingles long, bands array<long>, signature binary"
 _SET = "doc_id long, shingles array<long>"
@@ -168,7 +169,7 @@ def _round_by_round(large, links, sets, start, percent, small):
     """Links of the large buckets; ``start`` has those found elsewhere. Ends when no pair is open."""
     share = percent / (100 + percent)
     members = staged(_with_shared(large, sets), "minhash-members")
-    found = start
+    found, hub_parts = start, _FIRST_HUBS
     while True:
         labels = connected_components(found)
         now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -186,7 +187,7 @@ def _round_by_round(large, links, sets, start, percent, small):
         # The best member of each of a few parts of a bucket: an aggregate, so a hot bucket is no burden.
         rank = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("node")).alias("order"))
         hubs = cut_lineage(
-            alive.groupBy("band", "key", F.pmod(F.xxhash64("node"), F.lit(_HUBS)).alias("part"))
+            alive.groupBy("band", "key", F.pmod(F.xxhash64("node"), F.lit(hub_parts)).alias("part"))
             .agg(F.max(F.struct(rank.alias("rank"), "node", "n", "shared", "component")).alias("h"))
             .select("band", "key", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"),
                     F.col("h.shared").alias("hub_shared"), F.col("h.component").alias("hub_component")))
@@ -201,6 +202,8 @@ def _round_by_round(large, links, sets, start, percent, small):
             hubs.select("band", "key", F.col("hub").alias("node")), ["band", "key", "node"], "left_anti"))
         if not members.limit(1).count():
             return found
+        # The first hubs join most members; those that are left need more of them at a time.
+        hub_parts = min(2 * hub_parts, _MOST_HUBS)
 
 
 def near_duplicates(docs: DataFrame, percent=PERCENT, shingle=SHINGLE, bands=BANDS, rows=ROWS, small=SMALL) -> DataFrame:
@@ -235,10 +238,11 @@ def keep_one_each(docs: DataFrame, **options) -> DataFrame:
 
     Of repeated rows one stays. Rows without an id cannot be told apart and all stay.
     """
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    ours, row = fresh(docs, "_kept"), fresh(docs, "_row")
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias(ours)).distinct()
+    named = docs.join(kept, F.col("doc_id") == F.col(ours), "left_semi")
     once = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
     return (
-        named.withColumn("_row", once).where("_row = 1").drop("_row")
+        named.withColumn(row, once).where(F.col(row) == 1).drop(row)
         .unionByName(docs.where("doc_id is null"))
     )
