@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from grovekit.fixed import DROP_MARKERS, END_MARKER, LANGUAGES, LINE_MARKERS
 from grovekit.functions import text as T
-from grovekit.operators.bounded import lookup_join
+from grovekit.operators.bounded import key_join, lookup_join
 from grovekit.operators.quantiles import exact_quantiles, quantiles_of_counts
 from grovekit.session import staged
 
@@ -83,7 +83,7 @@ def statistical_bounds(df, by, line_count="line_count", line_length="avg_line_le
     caps = quantiles_of_counts(counted(pairs, line_count), by, {"line_cap": 0.9}, values)
     pairs = lookup_join(pairs, caps, by).where(F.col(line_count) <= F.col("line_cap"))
     last = quantiles_of_counts(counted(pairs, line_length), by, {"length_cap": 0.8}, values)
-    return bounds.join(caps, list(by)).join(last, list(by))
+    return key_join(key_join(bounds, caps, by), last, by)
 
 
 def statistical_filter(df, by, line_count="line_count", line_length="avg_line_length"):

@@ -6,6 +6,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from grovekit.fixed import LINE_BUCKETS
+from grovekit.operators.bounded import key_join
 from grovekit.operators.quantiles import column_value_counts, describe_counts, value_counts
 
 WEIGHTED_MEANS = (
@@ -51,10 +52,10 @@ def boxplot_stats(df, by, column):
     })
     outside = ~F.col("value").between(F.col("low"), F.col("high"))
     outliers = (
-        counts.join(summary.select(*by, "low", "high"), list(by))
+        key_join(counts, summary.select(*by, "low", "high"), by)
         .groupBy(*by).agg(F.sum(F.when(outside, F.col("cnt")).otherwise(0)).alias("outliers"))
     )
-    return summary.join(outliers, list(by))
+    return key_join(summary, outliers, by)
 
 
 def node_density(nodes="ast_node_count", lines="line_count"):

@@ -10,6 +10,7 @@ depend on how the values fall into buckets.
 
 from pyspark.sql import Window, functions as F
 
+from grovekit.operators.bounded import key_join
 from grovekit.session import staged
 
 # Distinct values, over all keys, that the built-in aggregate may hold.
@@ -88,8 +89,8 @@ def bucketed_quantiles(counts, by, probabilities):
             F.lit(side).alias("side"),
             (F.floor if side == "low" else F.ceil)(F.lit(float(p)) * (F.col("n") - 1))
             .cast("bigint").alias("rank"),
-            (F.lit(float(p)) * (F.col("n") - 1)
-             - F.floor(F.lit(float(p)) * (F.col("n") - 1))).alias("share"),
+            F.abs(F.lit(float(p)) * (F.col("n") - 1)
+                  - (F.ceil if side == "low" else F.floor)(F.lit(float(p)) * (F.col("n") - 1))).alias("weight"),
         )
         for name, p in probabilities.items() for side in ("low", "high")
     ])
@@ -106,7 +107,7 @@ def bucketed_quantiles(counts, by, probabilities):
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     found = (
-        counts.join(targets, [*keys, "bucket"])
+        key_join(counts, targets, [*keys, "bucket"])
         .withColumn("first", F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
         .select(
             *keys, "value",
@@ -117,16 +118,16 @@ def bucketed_quantiles(counts, by, probabilities):
         )
     )
 
-    def end(name, side):
-        return F.max(F.when((F.col("t.name") == name) & (F.col("t.side") == side), F.col("value")))
+    def of(name, side, field):
+        return F.max(F.when((F.col("t.name") == name) & (F.col("t.side") == side), F.col(field)))
 
-    def share(name):
-        return F.max(F.when(F.col("t.name") == name, F.col("t.share")))
+    def between(name):
+        # The built-in percentile's own formula, so that both ways agree to the last digit.
+        low, high = of(name, "low", "value"), of(name, "high", "value")
+        weighted = of(name, "low", "t.weight") * low + of(name, "high", "t.weight") * high
+        return F.when(low == high, low).otherwise(weighted)
 
-    result = found.groupBy(*keys).agg(*[
-        (end(name, "low") + (end(name, "high") - end(name, "low")) * share(name)).alias(name)
-        for name in probabilities
-    ])
+    result = found.groupBy(*keys).agg(*[between(name).alias(name) for name in probabilities])
     return result if by else result.drop("_all")
 
 
@@ -151,17 +152,16 @@ def describe_counts(counts, by, prefix=""):
     if counts.count() <= BUILT_IN_VALUES:
         base = _built_in(counts, keys, quartiles, *moments)
     else:
-        base = counts.groupBy(*keys).agg(*moments).join(
-            bucketed_quantiles(counts, keys, quartiles), keys)
+        base = key_join(counts.groupBy(*keys).agg(*moments), bucketed_quantiles(counts, keys, quartiles), keys)
     # Deviations from the known mean: no cancellation, and only counted values are read again.
     spread = (
-        counts.join(base.select(*keys, "mean"), keys)
+        key_join(counts, base.select(*keys, "mean"), keys)
         .groupBy(*keys)
         .agg(F.sqrt(F.try_divide(
             F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), 2)), F.sum("cnt") - 1,
         )).alias("std"))
     )
-    return base.join(spread, keys).select(
+    return key_join(base, spread, keys).select(
         *by,
         *[F.col(c).alias(prefix + c) for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")],
     )

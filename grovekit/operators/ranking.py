@@ -8,7 +8,7 @@ bucket gives the same numbers; buckets only decide how even the tasks are.
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window, functions as F
 
-from grovekit.operators.bounded import lookup_join
+from grovekit.operators.bounded import key_join, lookup_join
 
 ROWS_PER_BUCKET = 1_000_000
 _HASH_DIGITS = 3
@@ -28,7 +28,8 @@ def with_range_bucket(df, column, rows_per_bucket=ROWS_PER_BUCKET):
     """Add ``_bucket``: order-keeping ranges of a numeric column, about equally full.
 
     Two passes over one column fetch the row count and as many cut points; the cut
-    points are literals, so every later evaluation sees the same buckets.
+    points are literals, so every later evaluation sees the same buckets. Nulls come
+    first and NaN last, as they do when sorted.
     """
     total = df.select(column).count()
     parts = -(-total // rows_per_bucket)
@@ -38,12 +39,12 @@ def with_range_bucket(df, column, rows_per_bucket=ROWS_PER_BUCKET):
     cuts = df.agg(
         F.percentile_approx(F.col(column).cast("double"), steps, max(10_000, 10 * parts))
     ).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted(c for c in set(cuts or []) if abs(c) < float("inf")), float("inf")]
     key = "_bucket_key"
-    bucketed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket").transform(
+    bucketed = Bucketizer(splits=splits, inputCol=key, outputCol="_bucket", handleInvalid="keep").transform(
         df.withColumn(key, F.col(column).cast("double"))
     )
-    return bucketed.drop(key)
+    return bucketed.withColumn("_bucket", F.when(F.col(key).isNull(), -1.0).otherwise(F.col("_bucket"))).drop(key)
 
 
 def _bucket_totals(df, by):
@@ -62,7 +63,7 @@ def number_rows(df, by, order, name="row_index"):
     """Zero-based index per key in ``order`` and rows per key, for rows with ``_bucket``."""
     inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
     return (
-        df.join(_bucket_totals(df, by), [*by, "_bucket"])
+        key_join(df, _bucket_totals(df, by), [*by, "_bucket"])
         .withColumn(name, F.col("_before") + F.row_number().over(inside) - 1)
         .drop("_bucket", "_before")
     )

@@ -7,8 +7,6 @@ from grovekit.functions import text as T
 from grovekit.operators.filters import clean_samples, statistical_filter
 from grovekit.operators.ranking import first_by_hash
 
-SAMPLES_PER_LANGUAGE = 1_000_000
-
 
 def drop_repository_columns(df, columns=REPOSITORY_COLUMNS):
     """Without the columns of the list; absent ones are no error."""
@@ -30,13 +28,13 @@ def with_clean_metrics(df, code="code", mode="reference"):
     }).drop("_m")
 
 
-def filter_corpus(df, key, seed=42, per_language=SAMPLES_PER_LANGUAGE):
-    """Seeded sample per language, then the outlier filter and the two caps."""
-    sampled = first_by_hash(df, ["language"], key, per_language, seed)
+def filter_corpus(df, key, seed=42, per_language=None):
+    """The outlier filter and the two caps, on all rows or on a seeded sample per language."""
+    sampled = df if per_language is None else first_by_hash(df, ["language"], key, per_language, seed)
     return statistical_filter(with_raw_metrics(sampled), ["language"])
 
 
-def prepare(df, key, seed=42, per_language=SAMPLES_PER_LANGUAGE, **markers):
+def prepare(df, key, seed=42, per_language=None, **markers):
     """From raw samples to cleaned, measured samples."""
     filtered = filter_corpus(df, key, seed, per_language)
     return with_clean_metrics(clean_samples(filtered, **markers))

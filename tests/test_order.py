@@ -79,6 +79,31 @@ def test_ranks(spark, per_bucket):
     assert {r.id for r in first.collect()} == {i for i, n in expected.items() if n < 70}
 
 
+def test_both_ways_give_the_same_quantiles(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", None]), rng.random() * 10 ** rng.randint(0, 6)) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "language string, v double")
+    probabilities = {f"p{i}": i / 37 for i in range(38)}
+    built_in = Q.exact_quantiles(df, ["language"], "v", probabilities).collect()
+    described = Q.describe(df, ["language"], "v").select("language", "count", "p25", "p50", "p75").collect()
+    monkeypatch.setattr(Q, "BUILT_IN_VALUES", 0)
+    bucketed = Q.exact_quantiles(df, ["language"], "v", probabilities).collect()
+    assert len(built_in) == len(described) == 3 and set(built_in) == set(bucketed)
+    again = Q.describe(df, ["language"], "v").select("language", "count", "p25", "p50", "p75").collect()
+    assert set(again) == set(described)
+
+
+@pytest.mark.parametrize("per_bucket", [1, 2, 1000])
+def test_null_keys_and_null_order(spark, per_bucket):
+    df = spark.createDataFrame([(5, "a"), (None, "a"), (2, None), (3, None), (9, "a")], "id int, language string")
+    indexed = R.index_by_column(df, ["language"], "id", rows_per_bucket=per_bucket).collect()
+    assert {(r.id, r.language): r.row_index for r in indexed} == {
+        (None, "a"): 0, (5, "a"): 1, (9, "a"): 2, (2, None): 0, (3, None): 1}
+    first = R.first_by_column(df, ["language"], "id", 1, rows_per_bucket=per_bucket).collect()
+    assert {(r.id, r.language) for r in first} == {(None, "a"), (2, None)}
+    assert OF.iqr_filter(df.fillna(4, ["id"]), ["language"], "id").count() == 5
+
+
 def test_seeded_order(spark):
     df = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("language"))
     order = R.index_by_hash(df, ["language"], "id").collect()
