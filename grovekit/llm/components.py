@@ -47,10 +47,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         new = cut_lineage(_small_star(_large_star(edges)))
         # Done when every node points at a node that points nowhere, and only at that one.
-        chained = new.join(new.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-        split = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+        chained = new.join(new.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+        split = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
         edges = new
-        if not chained and not split:
+        if not chained.unionByName(split).limit(1).count():
             break
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

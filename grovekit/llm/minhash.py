@@ -5,7 +5,7 @@ are one class, represented by their smallest id. Of each class ``BANDS`` x ``ROW
 minima are kept; classes that agree in a band share a bucket. With 26 bands of 5 rows a
 pair of similarity 0.85 is missed by all bands with probability 3e-7.
 
-Buckets of up to ``SMALL`` classes give all their pairs, at most ``SMALL`` / 2 per member.
+Buckets of up to ``SMALL`` classes compare the signatures of all their pairs within a task.
 Larger buckets would give pairs by the square, so they go by rounds. In a round a few hubs
 (the members with the largest share of shingles that also occur in other members) are
 compared with all others and then leave; what they link joins their component. Members
@@ -14,9 +14,11 @@ similarity s if each has at least s / (1 + s) * (|x| + |y|) shingles that occur
 A bucket ends when no member has a possible partner outside its component. No pair is
 given up: rounds go on until all buckets have ended or are small.
 
-Candidates whose signatures disagree clearly are dropped (five standard deviations), the
-rest are confirmed by intersecting their full shingle sets, and links become components
-by large-star and small-star.
+Candidates whose signatures disagree clearly are dropped: by the minima (five standard
+deviations), and by counts of the shingles per bin, which bound the symmetric difference from
+below and so drop no link. Links are confirmed by intersecting full shingle sets, first one
+candidate a member, then those of the others that still lie between two components. Links
+become components by large-star and small-star.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept; a
 null id takes part with its text but never represents a class; rows of one id count as one
@@ -41,7 +43,8 @@ from grovekit.session import cut_lineage, staged
 SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 26, 5
-SMALL = 64
+SMALL = 128
+_BINS = 128
 _FIRST_HUBS, _MOST_HUBS = 4, 64
 _SEED = 20_240_601
 _SKETCH = "doc_id long, class binary, n_shingles long, bands array<long>, signature binary"
@@ -61,8 +64,14 @@ def _minima(shingles, a, b):
     return low
 
 
+def _bin_counts(shingles):
+    """Shingles per bin modulo 16, two bins a byte."""
+    counts = np.bincount((shingles & np.uint64(_BINS - 1)).astype(np.int64), minlength=_BINS) & 15
+    return (counts[::2] | counts[1::2] << 4).astype(np.uint8)
+
+
 def sketches(docs: DataFrame, shingle=SHINGLE, bands=BANDS, rows=ROWS) -> DataFrame:
-    """doc_id, class of its words, size of its set, band keys, and a signature of one byte per minimum."""
+    """doc_id, class of its words, size of its set, band keys, and a signature: one byte per minimum, then bin counts."""
     schema = arrow_schema(_SKETCH)
     a, b = _family(bands * rows)
 
@@ -80,7 +89,7 @@ def sketches(docs: DataFrame, shingle=SHINGLE, bands=BANDS, rows=ROWS) -> DataFr
                         for column in low.reshape(bands, rows).T:
                             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + column)
                         value = (hashlib.blake2b(b" ".join(words), digest_size=16).digest(), len(found),
-                                 keys.view(np.int64).tolist(), low.astype(np.uint8).tobytes())
+                                 keys.view(np.int64).tolist(), low.astype(np.uint8).tobytes() + _bin_counts(found).tobytes())
                     else:
                         value = (None, 0, None, None)
                     last = text, value
@@ -109,51 +118,102 @@ def _sets(docs, wanted, shingle):
     return few.mapInArrow(sets, _SET).dropDuplicates(["doc_id"])
 
 
-def _pairs_of(members):
-    """All pairs of buckets of bounded size."""
-    gathered = members.groupBy("band", "key").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
-    return (
-        gathered.select("nodes", F.posexplode("nodes").alias("at", "x"))
-        .select("x", F.explode(F.expr("slice(nodes, at + 2, size(nodes))")).alias("y")).distinct()
-    )
+def _stacked(column, rows):
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(rows, -1)
 
 
 class _Links:
-    """Checks candidate pairs, first by signatures and then by full sets."""
+    """Finds the links of ``start`` and of candidates, by signatures and then by full sets."""
 
     def __init__(self, signatures, sets, percent, minima):
         similarity = percent / 100
         slack = 5 * math.sqrt(similarity * (1 - similarity) / minima)
-        self._least = math.floor(minima * (similarity - slack))
+        self._least, self._minima = math.floor(minima * (similarity - slack)), minima
         self._signatures, self._sets, self._percent = signatures, sets, percent
 
-    def __call__(self, pairs):
-        sign = self._signatures
-        least = self._least
-        schema = arrow_schema("x long, y long")
-
-        def agree(batches):
+    def _test(self):
+        """Function of sizes and signatures of pairs: lower bounds of their differences, and whether they may link."""
+        least, minima, percent = self._least, self._minima, self._percent
+
+        def test(n, s, m, t):
+            agree = (s[:, :minima] == t[:, :minima]).sum(axis=1)
+            s, t = s[:, minima:], t[:, minima:]
+            gap = 0
+            for d in ((s & 15) - (t & 15) & 15, (s >> 4) - (t >> 4) & 15):
+                gap = gap + np.minimum(d, 16 - d).sum(axis=1, dtype=np.int64)
+            # With d = |x - y| + |y - x| the similarity is (n + m - d) / (n + m + d).
+            return gap, (agree >= least) & (gap * (100 + percent) <= (n + m) * (100 - percent))
+
+        return test
+
+    def within(self, members):
+        """Likely pairs (x, y, gap) of buckets of bounded size."""
+        test, schema = self._test(), arrow_schema("x long, y long, gap long")
+
+        def compare(batches):
+            for batch in slices(batches, 16):
+                out = []
+                for bucket in batch.column("members"):
+                    rows = bucket.values
+                    node, n = (rows.field(c).to_numpy() for c in ("node", "n"))
+                    signs = _stacked(rows.field("signature"), len(rows))
+                    i, j = np.triu_indices(len(rows), 1)
+                    gap, good = test(n[i], signs[i], n[j], signs[j])
+                    i, j = node[i[good]], node[j[good]]
+                    out.append((np.minimum(i, j), np.maximum(i, j), gap[good]))
+                if out:
+                    yield to_batch(schema, [np.concatenate(c) for c in zip(*out)])
+
+        gathered = members.join(self._signatures.drop("size"), "node").groupBy("band", "key").agg(
+            F.collect_list(F.struct("node", F.col("n").cast("long").alias("n"), "signature")).alias("members"))
+        return gathered.select("members").mapInArrow(compare, "x long, y long, gap long")
+
+    def between(self, pairs):
+        """Likely pairs (x, y, gap) of given pairs."""
+        test, schema = self._test(), arrow_schema("x long, y long, gap long")
+
+        def compare(batches):
             for batch in slices(batches, 8192):
                 if batch.num_rows:
-                    left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                                   for c in ("sx", "sy"))
-                    good = (left == right).sum(axis=1) >= least
-                    yield to_batch(schema, [batch.column(c).to_numpy()[good] for c in ("x", "y")])
-
-        likely = (
-            pairs.select("x", "y").join(sign.select(F.col("node").alias("x"), F.col("signature").alias("sx")), "x")
-            .join(sign.select(F.col("node").alias("y"), F.col("signature").alias("sy")), "y").mapInArrow(agree, "x long, y long")
-        )
-        likely = staged(likely, "minhash-likely")
+                    n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("nx", "ny"))
+                    gap, good = test(n, _stacked(batch.column("sx"), len(n)), m, _stacked(batch.column("sy"), len(n)))
+                    yield to_batch(schema, [batch.column("x").to_numpy()[good], batch.column("y").to_numpy()[good], gap[good]])
+
+        def signed(side):
+            return self._signatures.select(
+                F.col("node").alias(side), F.col("signature").alias(f"s{side}"), F.col("size").alias(f"n{side}"))
+
+        return pairs.select("x", "y").join(signed("x"), "x").join(signed("y"), "y").mapInArrow(compare, "x long, y long, gap long")
+
+    def _confirmed(self, pairs):
         sets = self._sets
         both = F.size(F.array_intersect("a", "b"))
         return (
-            likely.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("a")), "x")
+            pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("a")), "x")
             .join(sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("b")), "y")
             .where(100 * both >= self._percent * (F.size("a") + F.size("b") - both))
             .select(F.col("x").alias("u"), F.col("y").alias("v"))
         )
 
+    def joined(self, likely, start=None):
+        """Components (node, component) of the links among likely pairs and of the components ``start``."""
+        likely = staged(likely.groupBy("x", "y").agg(F.min("gap").alias("gap")), "minhash-likely")
+        # Each member and its closest smaller partner: enough for groups whose texts are all alike.
+        best = likely.groupBy("y").agg(F.min(F.struct("gap", "x")).alias("b")).select(F.col("b.x").alias("x"), "y")
+        edges = self._confirmed(best)
+        if start is not None:
+            edges = edges.unionByName(start.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        labels = connected_components(edges)
+        rest = likely.select("x", "y")
+        for side in ("x", "y"):
+            rest = rest.join(labels.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+        apart = F.coalesce("cx", "x") != F.coalesce("cy", "y")
+        rest = rest.where(apart).join(best, ["x", "y"], "left_anti").select("x", "y")
+        more = cut_lineage(self._confirmed(rest))
+        if not more.limit(1).count():
+            return labels
+        return connected_components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("component").alias("v"))))
+
 
 def _with_shared(members, sets):
     """``shared``: how many shingles of a member also occur in another member of any large bucket."""
@@ -165,13 +225,12 @@ def _with_shared(members, sets):
     return members.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
 
 
-def _round_by_round(large, links, sets, start, percent, small):
-    """Links of the large buckets; ``start`` has those found elsewhere. Ends when no pair is open."""
+def _round_by_round(large, links, sets, labels, percent, small):
+    """Components after the links of the large buckets; ``labels`` are those before. Ends when no pair is open."""
     share = percent / (100 + percent)
     members = staged(_with_shared(large, sets), "minhash-members")
-    found, hub_parts = start, _FIRST_HUBS
+    hub_parts = _FIRST_HUBS
     while True:
-        labels = connected_components(found)
         now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         bucket = now.groupBy("band", "key").agg(
             F.min("n").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
@@ -183,7 +242,6 @@ def _round_by_round(large, links, sets, start, percent, small):
         alive = cut_lineage(alive.drop("least").join(open_.select("band", "key", "size"), ["band", "key"]))
         tail = alive.where(F.col("size") <= small)
         alive = alive.where(F.col("size") > small)
-        pairs = _pairs_of(tail)
         # The best member of each of a few parts of a bucket: an aggregate, so a hot bucket is no burden.
         rank = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("node")).alias("order"))
         hubs = cut_lineage(
@@ -197,11 +255,11 @@ def _round_by_round(large, links, sets, start, percent, small):
             alive.join(hubs, ["band", "key"]).where((F.col("node") != F.col("hub")) & (F.col("component") != F.col("hub_component")) & fits)
             .select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")).distinct()
         )
-        found = cut_lineage(found.unionByName(links(pairs.unionByName(spokes).distinct())))
+        labels = links.joined(links.within(tail.select("band", "key", "node", "n")).unionByName(links.between(spokes)), labels)
         members = cut_lineage(alive.select("band", "key", "node", "n", "shared").join(
             hubs.select("band", "key", F.col("hub").alias("node")), ["band", "key", "node"], "left_anti"))
         if not members.limit(1).count():
-            return found
+            return labels
         # The first hubs join most members; those that are left need more of them at a time.
         hub_parts = min(2 * hub_parts, _MOST_HUBS)
 
@@ -217,15 +275,14 @@ def near_duplicates(docs: DataFrame, percent=PERCENT, shingle=SHINGLE, bands=BAN
     sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     shared = staged(buckets.join(sizes, ["band", "key"]), "minhash-buckets")
     nodes = staged(shared.select("node").distinct(), "minhash-nodes")
-    signatures = staged(first.select(F.col("doc_id").alias("node"), "signature").join(nodes, "node", "left_semi"), "minhash-signatures")
+    signatures = staged(first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "signature").join(nodes, "node", "left_semi"), "minhash-signatures")
     sets = staged(_sets(docs, nodes, shingle), "minhash-sets")
     links = _Links(signatures, sets, percent, bands * rows)
 
-    found = cut_lineage(links(_pairs_of(shared.where(F.col("size") <= small))))
+    labels = links.joined(links.within(shared.where(F.col("size") <= small).drop("size")))
     large = shared.where(F.col("size") > small).drop("size")
     if large.limit(1).count():
-        found = _round_by_round(large, links, sets, found, percent, small)
-    labels = connected_components(found)
+        labels = _round_by_round(large, links, sets, labels, percent, small)
     component = F.coalesce("component", "node", "doc_id")
     return (
         every.select("doc_id", "class", "n_shingles").join(classes, "class", "left").join(labels, "node", "left")
