@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from grovekit.session import cut_lineage
 
+_EDGES_PER_TASK = 200_000
+
 
 def _larger_first(edges):
     return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -44,13 +46,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Nodes without an edge to another node are not listed. An empty table gives no rows.
     """
     edges = cut_lineage(_larger_first(edges))
+    # The number of edges never grows, so that of the first ones bounds all rounds.
+    tasks = 1 + edges.count() // _EDGES_PER_TASK
+    edges = edges.coalesce(tasks)
     while True:
-        new = cut_lineage(_small_star(_large_star(edges)))
+        edges = cut_lineage(_small_star(_large_star(edges)).coalesce(tasks))
         # Done when every node points at a node that points nowhere, and only at that one.
-        chained = new.join(new.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count()
-        split = new.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-        edges = new
-        if not chained and not split:
+        split = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+        chained = edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").select("u")
+        if not split.select("u").unionByName(chained).limit(1).count():
             break
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

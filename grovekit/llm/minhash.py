@@ -5,18 +5,19 @@ are one class, represented by their smallest id. Of each class ``BANDS`` x ``ROW
 minima are kept; classes that agree in a band share a bucket. With 26 bands of 5 rows a
 pair of similarity 0.85 is missed by all bands with probability 3e-7.
 
-Buckets of up to ``SMALL`` classes give all their pairs, at most ``SMALL`` / 2 per member.
-Larger buckets would give pairs by the square, so they go by rounds. In a round a few hubs
-(the members with the largest share of shingles that also occur in other members) are
-compared with all others and then leave; what they link joins their component. Members
-of one component need no further comparison, and a pair (x, y) can only reach the
-similarity s if each has at least s / (1 + s) * (|x| + |y|) shingles that occur elsewhere.
-A bucket ends when no member has a possible partner outside its component. No pair is
-given up: rounds go on until all buckets have ended or are small.
-
-Candidates whose signatures disagree clearly are dropped (five standard deviations), the
-rest are confirmed by intersecting their full shingle sets, and links become components
-by large-star and small-star.
+Members of a bucket are compared inside tasks, in blocks of up to ``SMALL``, and no pair
+becomes a row unless it may be a link: its signatures must not disagree clearly (five
+standard deviations), and its parity sketches must differ in few enough bits. A parity
+sketch tells for each of 8 to 16 bins per shingle whether it holds an odd number of them;
+two sketches never differ in more bits than the sets differ in shingles, so no link is
+lost. Of clear candidates a block gives a spanning forest, of those near the limit all
+that join different trees. They are confirmed by intersecting full shingle sets, and
+links become components by large-star and small-star.
+
+In the second round only buckets that have several blocks and whose members are not all in
+one component yet are looked at again: their blocks meet each other, and only members of
+different components are compared. Should a clear candidate be refused, its buckets go
+through a further round without that pair, so no link is given up.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept; a
 null id takes part with its text but never represents a class; rows of one id count as one
@@ -28,6 +29,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,11 +43,14 @@ from grovekit.session import cut_lineage, staged
 SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 26, 5
-SMALL = 64
-_FIRST_HUBS, _MOST_HUBS = 4, 64
+SMALL = 512
+#: Share of the allowed difference below which a candidate counts as clear.
+_CLEAR = 0.85
+#: Slots of the filter on ids: 4 MB, however many there are; a full one only lets more texts pass.
+_SLOTS = 1 << 25
 _SEED = 20_240_601
 _SKETCH = "doc_id long, class binary, n_shingles long, bands array<long>, signature binary"
-_SET = "doc_id long, shingles array<long>"
+_SET = "doc_id long, shingles array<long>, parity binary"
 
 
 def _family(count, seed=_SEED):
@@ -94,116 +99,165 @@ def _columns(docs):
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _sets(docs, wanted, shingle):
-    """Full shingle sets of the documents whose ids are in ``wanted`` (node)."""
+def _parity(shingles):
+    """Bits that tell of each bin whether it holds an odd number of shingles."""
+    bins = 64
+    while bins < 8 * len(shingles):
+        bins *= 2
+    odd = np.bincount((shingles & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _slot(column):
+    return F.pmod(F.xxhash64(column), F.lit(_SLOTS))
+
+
+def _sets(docs, nodes, shingle):
+    """Full shingle sets and parity sketches of the documents whose ids are in ``nodes`` (node).
+
+    A bitmap of hashed ids keeps most other texts from being split and shuffled.
+    """
     schema = arrow_schema(_SET)
+    place = _slot("node") + 1
+    rows = nodes.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bitmap = {r.b - 1: bytes(r.bits) for r in rows}
 
     def sets(batches):
         hasher = WordHasher()
         for batch in slices(batches, 64):
-            yield to_batch(schema, [
-                batch.column("doc_id").to_pylist(),
-                [shingle_set(hasher(space_words(t)), shingle).view(np.int64) for t in batch.column("text").to_pylist()]])
+            out = []
+            for doc_id, slot, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "slot", "text"))):
+                part = bitmap.get(slot >> 15)
+                if part and part[(slot & 32767) >> 3] >> (slot & 7) & 1:
+                    found = shingle_set(hasher(space_words(text)), shingle)
+                    out.append((doc_id, found.view(np.int64), _parity(found)))
+            yield to_batch(schema, list(zip(*out)) or [[]] * 3)
+
+    found = _columns(docs).where("doc_id is not null").withColumn("slot", _slot("doc_id")).mapInArrow(sets, _SET)
+    return found.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+class _Forest:
+    """Trees of integers."""
+
+    def __init__(self, labels):
+        first = {}
+        self._up = [first.setdefault(label, i) for i, label in enumerate(labels)]
+
+    def root(self, i):
+        up = self._up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, i, j):
+        i, j = self.root(i), self.root(j)
+        self._up[max(i, j)] = min(i, j)
+        return i != j
+
+
+def _differences(parities, i, j):
+    """Bits in which the sketches of pairs (i, j) differ; the larger sketch is folded to the size of the smaller."""
+    size = np.array([len(p) for p in parities])
+    least, out = np.minimum(size[i], size[j]), np.zeros(len(i), np.int64)
+    for bins in np.unique(least):
+        at = np.flatnonzero(least == bins)
+        rows = np.unique(np.concatenate([i[at], j[at]]))
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(parities[r], np.uint8).reshape(-1, bins), axis=0) for r in rows])
+        step = max(1, (1 << 24) // int(bins))
+        for k in range(0, len(at), step):
+            part = at[k:k + step]
+            differ = folded[np.searchsorted(rows, i[part])] ^ folded[np.searchsorted(rows, j[part])]
+            out[part] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _candidates(blocks, percent, minima):
+    """Pairs (x, y, clear) of each block (key, p, q) that may be links and join different components."""
+    schema = arrow_schema("x long, y long, clear boolean")
+    similarity = percent / 100
+    least = math.floor(minima * (similarity - 5 * math.sqrt(similarity * (1 - similarity) / minima)))
+
+    def compare(table):
+        table = table.combine_chunks()
+        node, n, part, label = (table.column(c).to_numpy() for c in ("node", "n", "part", "component"))
+        signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
+        refused = {(x, y) for x, ys in zip(node.tolist(), table.column("refused").to_pylist()) for y in ys or ()}
+        across = bool((part != part[0]).any()) or table.column("p")[0].as_py() != table.column("q")[0].as_py()
+        left, right = [], []
+        for i in range(len(node) - 1):
+            fit = np.minimum(n[i], n[i + 1:]) * 100 >= percent * np.maximum(n[i], n[i + 1:])
+            fit &= label[i + 1:] != label[i]
+            if across:
+                fit &= part[i + 1:] != part[i]
+            at = i + 1 + np.flatnonzero(fit)
+            at = at[(signs[at] == signs[i]).sum(axis=1) >= least]
+            left.append(np.full(len(at), i))
+            right.append(at)
+        i, j = (np.concatenate([np.empty(0, np.int64), *side]).astype(np.int64) for side in (left, right))
+        differ = _differences(table.column("parity").to_pylist(), i, j)
+        most = (100 - percent) / (100 + percent) * (n[i] + n[j])
+        low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        order = np.lexsort((high, low, differ))
+        order = order[differ[order] <= most[order] + 1e-9]
+        trees, out, rest = _Forest(label.tolist()), [], []
+        for k in order.tolist():
+            pair = (int(low[k]), int(high[k]))
+            if pair not in refused:
+                if differ[k] > _CLEAR * most[k]:
+                    rest.append((k, pair))
+                elif trees.join(int(i[k]), int(j[k])):
+                    out.append((*pair, True))
+        out += [(*pair, False) for k, pair in rest if trees.root(int(i[k])) != trees.root(int(j[k]))]
+        return pa.Table.from_batches([to_batch(schema, list(zip(*out)) or [[]] * 3)])
 
-    few = _columns(docs).join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return few.mapInArrow(sets, _SET).dropDuplicates(["doc_id"])
+    return (
+        blocks.groupBy("key", "p", "q").applyInArrow(compare, "x long, y long, clear boolean")
+        .groupBy("x", "y").agg(F.max("clear").alias("clear"))
+    )
 
 
-def _pairs_of(members):
-    """All pairs of buckets of bounded size."""
-    gathered = members.groupBy("band", "key").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+def _confirmed(pairs, sets, percent):
+    """``pairs`` with ``good``: whether the full sets are similar enough."""
+    both = F.size(F.array_intersect("a", "b"))
     return (
-        gathered.select("nodes", F.posexplode("nodes").alias("at", "x"))
-        .select("x", F.explode(F.expr("slice(nodes, at + 2, size(nodes))")).alias("y")).distinct()
+        pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("a")), "x")
+        .join(sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("b")), "y")
+        .select("x", "y", "clear", (100 * both >= percent * (F.size("a") + F.size("b") - both)).alias("good"))
     )
 
 
-class _Links:
-    """Checks candidate pairs, first by signatures and then by full sets."""
-
-    def __init__(self, signatures, sets, percent, minima):
-        similarity = percent / 100
-        slack = 5 * math.sqrt(similarity * (1 - similarity) / minima)
-        self._least = math.floor(minima * (similarity - slack))
-        self._signatures, self._sets, self._percent = signatures, sets, percent
-
-    def __call__(self, pairs):
-        sign = self._signatures
-        least = self._least
-        schema = arrow_schema("x long, y long")
-
-        def agree(batches):
-            for batch in slices(batches, 8192):
-                if batch.num_rows:
-                    left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                                   for c in ("sx", "sy"))
-                    good = (left == right).sum(axis=1) >= least
-                    yield to_batch(schema, [batch.column(c).to_numpy()[good] for c in ("x", "y")])
-
-        likely = (
-            pairs.select("x", "y").join(sign.select(F.col("node").alias("x"), F.col("signature").alias("sx")), "x")
-            .join(sign.select(F.col("node").alias("y"), F.col("signature").alias("sy")), "y").mapInArrow(agree, "x long, y long")
-        )
-        likely = staged(likely, "minhash-likely")
-        sets = self._sets
-        both = F.size(F.array_intersect("a", "b"))
-        return (
-            likely.join(sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("a")), "x")
-            .join(sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("b")), "y")
-            .where(100 * both >= self._percent * (F.size("a") + F.size("b") - both))
-            .select(F.col("x").alias("u"), F.col("y").alias("v"))
-        )
-
-
-def _with_shared(members, sets):
-    """``shared``: how many shingles of a member also occur in another member of any large bucket."""
-    nodes = members.select("node").distinct()
-    shingles = sets.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("node"), F.explode("shingles").alias("s"))
-    common = shingles.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s")
-    shared = shingles.join(common, "s").groupBy("node").agg(F.count("*").alias("shared"))
-    return members.join(shared, "node", "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
-
-
-def _round_by_round(large, links, sets, start, percent, small):
-    """Links of the large buckets; ``start`` has those found elsewhere. Ends when no pair is open."""
-    share = percent / (100 + percent)
-    members = staged(_with_shared(large, sets), "minhash-members")
-    found, hub_parts = start, _FIRST_HUBS
+def _labels(members, members_sketch, sets, percent, minima, small):
+    """Components (node, component) of the links between members (key, node, size) of buckets."""
+    session = members.sparkSession
+    tried = session.createDataFrame([], "x long, y long, clear boolean, good boolean")
+    labels = session.createDataFrame([], "node long, component long")
+    parts = F.ceil(F.col("size") / small).cast("int")
+    members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    several, number = None, 1
     while True:
-        labels = connected_components(found)
-        now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        bucket = now.groupBy("band", "key").agg(
-            F.min("n").alias("least"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        # A partner has at least ``least`` shingles, and at least ``percent`` of one's own.
-        possible = F.col("shared") * (100 + percent) >= percent * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100)))
-        alive = now.join(bucket.drop("low", "high"), ["band", "key"]).where(possible)
-        open_ = alive.groupBy("band", "key").agg(
-            F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        alive = cut_lineage(alive.drop("least").join(open_.select("band", "key", "size"), ["band", "key"]))
-        tail = alive.where(F.col("size") <= small)
-        alive = alive.where(F.col("size") > small)
-        pairs = _pairs_of(tail)
-        # The best member of each of a few parts of a bucket: an aggregate, so a hot bucket is no burden.
-        rank = F.struct((F.col("shared") / F.col("n")).alias("share"), (-F.col("node")).alias("order"))
-        hubs = cut_lineage(
-            alive.groupBy("band", "key", F.pmod(F.xxhash64("node"), F.lit(hub_parts)).alias("part"))
-            .agg(F.max(F.struct(rank.alias("rank"), "node", "n", "shared", "component")).alias("h"))
-            .select("band", "key", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"),
-                    F.col("h.shared").alias("hub_shared"), F.col("h.component").alias("hub_component")))
-        reach = share * (F.col("n") + F.col("hub_n")) - 1e-9
-        fits = (F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent) & (F.col("shared") >= reach) & (F.col("hub_shared") >= reach)
-        spokes = (
-            alive.join(hubs, ["band", "key"]).where((F.col("node") != F.col("hub")) & (F.col("component") != F.col("hub_component")) & fits)
-            .select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")).distinct()
-        )
-        found = cut_lineage(found.unionByName(links(pairs.unionByName(spokes).distinct())))
-        members = cut_lineage(alive.select("band", "key", "node", "n", "shared").join(
-            hubs.select("band", "key", F.col("hub").alias("node")), ["band", "key", "node"], "left_anti"))
-        if not members.limit(1).count():
-            return found
-        # The first hubs join most members; those that are left need more of them at a time.
-        hub_parts = min(2 * hub_parts, _MOST_HUBS)
+        refused = tried.where("clear and not good").groupBy(F.col("x").alias("node")).agg(F.collect_set("y").alias("refused"))
+        if number == 1:
+            rows = members.select("key", "node", "part", F.col("part").alias("p"), F.col("part").alias("q"), F.col("node").alias("component"))
+        else:
+            now = members.join(labels, "node", "left").join(refused, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            open_ = now.groupBy("key").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.col("refused").isNotNull()).alias("again"),
+            ).where("low < high").select("key", "again")
+            now = now.join(open_, "key").where(F.col("again") | (F.col("parts") > 1))
+            rows = now.select("key", "node", "part", "component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
+                "key", "node", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "component")
+        blocks = rows.join(members_sketch, "node").join(refused, "node", "left")
+        pairs = staged(_candidates(blocks, percent, minima), "minhash-candidates")
+        new = staged(_confirmed(pairs, sets, percent), "minhash-confirmed")
+        tried = tried.unionByName(new)
+        labels = connected_components(tried.where("good").select(F.col("x").alias("u"), F.col("y").alias("v")))
+        if several is None:
+            several = bool(members.where("parts > 1").limit(1).count())
+        if not (number == 1 and several) and not new.where("clear and not good").limit(1).count():
+            return labels
+        number += 1
 
 
 def near_duplicates(docs: DataFrame, percent=PERCENT, shingle=SHINGLE, bands=BANDS, rows=ROWS, small=SMALL) -> DataFrame:
@@ -213,19 +267,15 @@ def near_duplicates(docs: DataFrame, percent=PERCENT, shingle=SHINGLE, bands=BAN
     # One signature per class: that of its representative, which all its copies share.
     first = every.where("class is not null and doc_id is not null").join(
         classes.select("class", F.col("node").alias("doc_id")), ["class", "doc_id"], "left_semi").dropDuplicates(["doc_id", "class"])
-    buckets = first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
-    sizes = buckets.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = staged(buckets.join(sizes, ["band", "key"]), "minhash-buckets")
-    nodes = staged(shared.select("node").distinct(), "minhash-nodes")
-    signatures = staged(first.select(F.col("doc_id").alias("node"), "signature").join(nodes, "node", "left_semi"), "minhash-signatures")
+    buckets = first.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = staged(buckets.join(sizes, "key"), "minhash-buckets")
+    nodes = cut_lineage(members.select("node").distinct())
     sets = staged(_sets(docs, nodes, shingle), "minhash-sets")
-    links = _Links(signatures, sets, percent, bands * rows)
-
-    found = cut_lineage(links(_pairs_of(shared.where(F.col("size") <= small))))
-    large = shared.where(F.col("size") > small).drop("size")
-    if large.limit(1).count():
-        found = _round_by_round(large, links, sets, found, percent, small)
-    labels = connected_components(found)
+    sketch = staged(
+        first.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "signature")
+        .join(sets.select(F.col("doc_id").alias("node"), "parity"), "node"), "minhash-members")
+    labels = _labels(members, sketch, sets, percent, bands * rows, small)
     component = F.coalesce("component", "node", "doc_id")
     return (
         every.select("doc_id", "class", "n_shingles").join(classes, "class", "left").join(labels, "node", "left")
