@@ -2,7 +2,8 @@
 
 The tokenizer splits a text at every boundary between a word and a single space or line
 break before any merging, and between letters and the marks that follow them. Such pieces
-are encoded once and joined. Strings of special tokens inside a text are ordinary text.
+are encoded once and joined. A text that holds the string of an added token, which the
+tokenizer takes out before it splits, goes to it whole.
 """
 
 import os
@@ -42,7 +43,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._model, self._letters = self._tokenizer.model, _byte_letters()
         self._space = self._letters[0x20]
         self._first, self._later, self._words = {}, {}, {}
@@ -96,14 +97,17 @@ class Encoder:
                 if not text:
                     split.append(("", []))
                     continue
+                if any(t in text for t in self._added):
+                    split.append((text, None))
+                    continue
                 # Single spaces and line breaks only: every one of them starts a piece.
                 pieces = (_BETWEEN_WORDS.split(text) if _TWO_SPACES.search(text)
                           else text.replace("\n", " \n").split(" "))
                 split.append((pieces[0], pieces[1:]))
-            self._learn_first([a for a, _ in split])
-            self._learn_later({p for _, rest in split for p in rest})
+            self._learn_first([a for a, rest in split if rest is not None])
+            self._learn_later({p for _, rest in split if rest for p in rest})
             first, later = self._first, self._later
-            out += [first[a] + b"".join([later[p] for p in rest]) for a, rest in split]
+            out += [self._other([a])[0] if rest is None else first[a] + b"".join([later[p] for p in rest]) for a, rest in split]
         return out
 
 

@@ -30,4 +30,5 @@ def odd_rows():
     return [
         (1, text(1), "a"), (2, text(1), "b"), (3, None, "a"), (4, "", None), (5, text(5, 4000), "c"), (None, text(6), "a"),
         (7, "one", "b"), (8, " \n\t", "b"), (9, text(9), None), (9, text(9), None), (10, text(1).replace("\n", " "), "d"),
+        (11, "Ends <|endoftext|> inside.", "a"),
     ]
