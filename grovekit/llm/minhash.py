@@ -15,9 +15,11 @@ that join different trees. They are confirmed by intersecting full shingle sets,
 links become components by large-star and small-star.
 
 In the second round only buckets that have several blocks and whose members are not all in
-one component yet are looked at again: their blocks meet each other, and only members of
-different components are compared. Should a clear candidate be refused, its buckets go
-through a further round without that pair, so no link is given up.
+one component yet are looked at again. The members of a bucket's largest component stay in
+their block and are not compared with each other; each other member asks in every block. So
+a bucket of near copies makes a row for each member, and one more for each block and member that is not
+linked to the rest. Should a clear candidate be refused, its buckets go through a further
+round without that pair, so no link is given up.
 
 Defined results: null and empty texts have no shingles, link with nothing and are kept; a
 null id takes part with its text but never represents a class; rows of one id count as one
@@ -174,7 +176,7 @@ def _differences(parities, i, j):
 
 
 def _candidates(blocks, percent, minima):
-    """Pairs (x, y, clear) of each block (key, p, q) that may be links and join different components."""
+    """Pairs (x, y, clear) of each block (key, block) that may be links and join different components."""
     schema = arrow_schema("x long, y long, clear boolean")
     similarity = percent / 100
     least = math.floor(minima * (similarity - 5 * math.sqrt(similarity * (1 - similarity) / minima)))
@@ -184,13 +186,14 @@ def _candidates(blocks, percent, minima):
         node, n, part, label = (table.column(c).to_numpy() for c in ("node", "n", "part", "component"))
         signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(node), -1)
         refused = {(x, y) for x, ys in zip(node.tolist(), table.column("refused").to_pylist()) for y in ys or ()}
-        across = bool((part != part[0]).any()) or table.column("p")[0].as_py() != table.column("q")[0].as_py()
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        block = table.column("block")[0].as_py()
         left, right = [], []
         for i in range(len(node) - 1):
             fit = np.minimum(n[i], n[i + 1:]) * 100 >= percent * np.maximum(n[i], n[i + 1:])
             fit &= label[i + 1:] != label[i]
-            if across:
-                fit &= part[i + 1:] != part[i]
+            if asks[i]:  # two that ask meet in every block and are compared in one
+                fit &= ~asks[i + 1:] | (np.maximum(part[i], part[i + 1:]) == block)
             at = i + 1 + np.flatnonzero(fit)
             at = at[(signs[at] == signs[i]).sum(axis=1) >= least]
             left.append(np.full(len(at), i))
@@ -213,7 +216,7 @@ def _candidates(blocks, percent, minima):
         return pa.Table.from_batches([to_batch(schema, list(zip(*out)) or [[]] * 3)])
 
     return (
-        blocks.groupBy("key", "p", "q").applyInArrow(compare, "x long, y long, clear boolean")
+        blocks.groupBy("key", "block").applyInArrow(compare, "x long, y long, clear boolean")
         .groupBy("x", "y").agg(F.max("clear").alias("clear"))
     )
 
@@ -228,26 +231,40 @@ def _confirmed(pairs, sets, percent):
     )
 
 
+def _reopened(members, labels, refused):
+    """Rows (key, node, part, block, asks, component) of the buckets that may still hold links.
+
+    Those are buckets of several blocks that hold several components, and those with a refused
+    pair. Members of a bucket's largest component are linked already and stay in their block; all others ask in
+    every block. That is a row for each member and one for each asking member and block.
+    """
+    now = members.join(labels, "node", "left").join(refused.select("node", F.lit(True).alias("again")), "node", "left")
+    now = now.withColumn("component", F.coalesce("component", "node"))
+    held = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"), F.max("again").alias("again"))
+    open_ = held.groupBy("key").agg(
+        F.max_by("component", F.struct("held", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("components"),
+        F.max("again").alias("again")).where("components > 1")
+    found = now.drop("again").join(open_, "key").where(F.coalesce("again", F.lit(False)) | (F.col("parts") > 1))
+    blocks = F.when(F.col("component") == F.col("largest"), F.array("part")).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    return found.select("key", "node", "part", F.explode(blocks).alias("block"), (F.col("component") != F.col("largest")).alias("asks"), "component")
+
+
 def _labels(members, members_sketch, sets, percent, minima, small):
     """Components (node, component) of the links between members (key, node, size) of buckets."""
     session = members.sparkSession
     tried = session.createDataFrame([], "x long, y long, clear boolean, good boolean")
     labels = session.createDataFrame([], "node long, component long")
     parts = F.ceil(F.col("size") / small).cast("int")
-    members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # The bucket is part of the hash, so that members of one block are spread in other buckets.
+    members = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
     several, number = None, 1
     while True:
         refused = tried.where("clear and not good").groupBy(F.col("x").alias("node")).agg(F.collect_set("y").alias("refused"))
         if number == 1:
-            rows = members.select("key", "node", "part", F.col("part").alias("p"), F.col("part").alias("q"), F.col("node").alias("component"))
+            rows = members.select(
+                "key", "node", "part", F.col("part").alias("block"), F.lit(False).alias("asks"), F.col("node").alias("component"))
         else:
-            now = members.join(labels, "node", "left").join(refused, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_ = now.groupBy("key").agg(
-                F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.col("refused").isNotNull()).alias("again"),
-            ).where("low < high").select("key", "again")
-            now = now.join(open_, "key").where(F.col("again") | (F.col("parts") > 1))
-            rows = now.select("key", "node", "part", "component", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
-                "key", "node", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "component")
+            rows = _reopened(members, labels, refused)
         blocks = rows.join(members_sketch, "node").join(refused, "node", "left")
         pairs = staged(_candidates(blocks, percent, minima), "minhash-candidates")
         new = staged(_confirmed(pairs, sets, percent), "minhash-confirmed")

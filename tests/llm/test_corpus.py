@@ -39,7 +39,6 @@ def none(spark):
 @pytest.fixture(scope="module")
 def plain_tokenizer():
     t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
@@ -54,7 +53,6 @@ def rows(df):
                                  "\x1c", "日本", "🙂", "_", "\r\n", "x.", "|", "#", "\u00a0", "\u200b"]), max_size=12))
 def test_encoder_equals_tokenizer(pieces):
     t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
     whole = "".join(pieces)
     assert np.frombuffer(tokens.encoder(tokens.default_path())([whole])[0], "<u4").tolist() == t.encode(whole, add_special_tokens=False).ids
 
@@ -263,6 +261,19 @@ def test_near_duplicates_equal_all_pairs(spark, small):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, (_, c) in _components(docs).items() if i == c]
 
 
+@pytest.mark.parametrize("size", [1200, 4800])
+def test_second_round_asks_once_a_block(spark, size):
+    members = spark.range(size).select(
+        F.lit(7).alias("key"), F.col("id").alias("node"), F.lit(-(-size // 512)).alias("parts"), (F.col("id") % 10).cast("int").alias("part"))
+    labels = spark.range(20, size).select(F.col("id").alias("node"), F.lit(20).cast("long").alias("component"))
+    refused = spark.createDataFrame([], "node long, refused array<long>")
+    found = minhash._reopened(members, labels, refused).collect()
+    assert len(found) == size - 20 + 20 * -(-size // 512)
+    assert sum(r.asks for r in found) == 20 * -(-size // 512) and all(r.block == r.part for r in found if not r.asks)
+    linked = spark.range(size).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))
+    assert minhash._reopened(members, linked, refused).count() == 0
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = rows(minhash.near_duplicates(odd).select("doc_id", "component_id", "kept"))
     assert len(got) == len(odd_rows()) and {(1, 1, True), (2, 1, False), (10, 1, False), (3, 3, True)} <= set(got)
