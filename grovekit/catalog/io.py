@@ -8,7 +8,7 @@ from grovekit.operators.filters import valid_rows
 
 from grovekit.plans import preparation as P
 from grovekit.session import stage_path
-from grovekit.sources import readers as SR, writers as SW
+from grovekit.sources import keyed as SK, readers as SR, writers as SW
 from grovekit.streaming import incremental as SI
 
 
@@ -25,6 +25,16 @@ def _(spark, d):
     return entries.select("language", "key", digest("code").alias("digest"), r6("avg_line_length").alias("avg_line_length"), "line_count")
 
 
+@query("scan_keyed_object", f"""with {MEASURED} select language, language || '_' || cast(row_number() over (
+    partition by language order by doc_id) - 1 as varchar) as key, sha256(code) as digest,
+    round(avg_line_length, 6) as avg_line_length, line_count from measured""")
+def _(spark, d):
+    path = stage_path(spark, "keyed-object")
+    SW.write_keyed_object(P.with_raw_metrics(samples(spark, d)), path, "doc_id")
+    return SK.scan_keyed_object(spark, path).select(
+        "language", "key", digest("code").alias("digest"), r6("avg_line_length").alias("avg_line_length"), "line_count")
+
+
 @query("scan_columns", "select text from documents")
 def _(spark, d):
     return SR.scan_columns(spark, f"{d}/documents.parquet", "text")
