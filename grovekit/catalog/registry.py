@@ -54,6 +54,21 @@ def r6(column):
 
 
 NL = "chr(10)"
+
+
+def whole_digest(df, columns, order="id", key="doc_id"):
+    """Number of rows and one digest of their columns, in order, per record."""
+    line = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+    lines = F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), line.alias("line"))))
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.array_join(lines["line"], "\n").alias("_all")).select(
+        key, "rows", digest("_all").alias("digest"))
+
+
+def sql_digest(columns, order="nid"):
+    line = ", ".join(f"coalesce(cast({c} as varchar), '-')" for c in columns)
+    return f"count(*) as rows, sha256(string_agg(concat_ws(':', {line}), {NL} order by {order})) as digest"
+
+
 RAW_COUNT = "len(string_split(code, chr(10)))"
 RAW_AVG = "((length(code) - (len(string_split(code, chr(10))) - 1)) / len(string_split(code, chr(10))))"
 NODE_COUNT = r"(1 + len(string_split(code, chr(10))) + len(regexp_extract_all(code, '[^ \n]+')))"

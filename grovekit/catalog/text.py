@@ -357,11 +357,14 @@ _C = """coalesce(list_extract(list_filter(list_transform(range(1, len(w) + 1), l
     lambda x: x is not null), 1), 'unknown')"""
 
 
-@query("extract_name", f"""with {_CODED}, {_DECLARED},
-worded as (select *, regexp_split_to_array({_tr('t')}, '\\s+') as w from declared)
-select doc_id, language, case when language = 'python' then {_PY} when language in ('javascript', 'typescript') then {_JS}
-    when language = 'go' then {_GO} when language = 'ruby' then {_RUBY} when language = 'scala' then {_SCALA}
-    else {_C} end as name from worded""")
+# Of a text ``t`` with words ``w``, by ``language``.
+WORDS_SQL = f"regexp_split_to_array({_tr('t')}, '\\s+')"
+NAME_SQL = f"""case when language = 'python' then {_PY} when language in ('javascript', 'typescript') then {_JS}
+    when language = 'go' then {_GO} when language = 'ruby' then {_RUBY} when language = 'scala' then {_SCALA} else {_C} end"""
+
+
+@query("extract_name", f"""with {_CODED}, {_DECLARED}, worded as (select *, {WORDS_SQL} as w from declared)
+select doc_id, language, {NAME_SQL} as name from worded""")
 def _(spark, d):
     coded = declared(samples(spark, d).withColumn("language", spread_language()))
     return coded.select("doc_id", "language", extract_name("code", "language").alias("name"))

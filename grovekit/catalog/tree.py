@@ -3,10 +3,10 @@
 from pyspark.sql import Window, functions as F
 
 from grovekit.catalog.registry import (
-    NL, ORACLE, RAW_COUNT, SAMPLES, SPREAD_LANGUAGE, digest, query, r6, samples, spread_language, table,
+    NL, RAW_COUNT, SAMPLES, SPREAD_LANGUAGE, digest, query, samples, spread_language, sql_digest, table, whole_digest,
 )
 from grovekit.catalog.profile import rounded
-from grovekit.catalog.text import FENCED, _DECLARED as DECLARED, declared  # noqa: F401
+from grovekit.catalog.text import NAME_SQL, WORDS_SQL
 from grovekit.fixed import CATEGORIES, SKIP_TEXTS, SKIP_TYPES, VOID_TAGS
 from grovekit.functions import nodes as N
 from grovekit.operators import records as OR, trees as OT
@@ -106,17 +106,17 @@ def _(spark, d):
         F.coalesce("num_errors", F.lit(-1)).alias("num_errors"))
 
 
-@query("node_text", f"""with {DOCS} select n.doc_id, n.seq, substring(code, cast(sb + 1 as bigint), cast(eb - sb as bigint)) as text
-from nodes n join samples using (doc_id) where depth = 2""")
+@query("node_text", f"""with {DOCS}, sliced as (select n.doc_id, n.seq, substring(code, cast(sb + 1 as bigint), cast(eb - sb as bigint)) as text
+from nodes n join samples using (doc_id)) select doc_id, {sql_digest(['seq', 'text'], 'seq')} from sliced group by doc_id""")
 def _(spark, d):
-    tokens = text_nodes(spark, d).where(F.col("depth") == 2)
-    return OT.node_text(tokens, samples(spark, d), "doc_id").select("doc_id", "seq", "text")
+    found = OT.node_text(text_nodes(spark, d), samples(spark, d), "doc_id")
+    return whole_digest(found, ["seq", "text"], "seq")
 
 
-@query("node_text_corrected", f"with {DOCS} select doc_id, seq, text from nodes where depth = 2")
+@query("node_text_corrected", f"with {DOCS} select doc_id, {sql_digest(['seq', 'text'], 'seq')} from nodes group by doc_id")
 def _(spark, d):
-    tokens = text_nodes(spark, d).where(F.col("depth") == 2)
-    return OT.node_text(tokens, samples(spark, d), "doc_id", mode="corrected").select("doc_id", "seq", "text")
+    found = OT.node_text(text_nodes(spark, d), samples(spark, d), "doc_id", mode="corrected")
+    return whole_digest(found, ["seq", "text"], "seq")
 
 
 @query("parent_child", f"""with {DOCS} select doc_id, seq, case depth when 0 then -1 when 1 then 0 else
@@ -160,10 +160,13 @@ kept as (select *, not (stripped in ({_sql_list(SKIP_TEXTS)}) or type in ({_sql_
     or (type = 'string' and (stripped like '\"\"\"%' or stripped like '''''''%'))
     or (type = 'variable_declarator' and parent_type in ('variable_declaration', 'lexical_declaration') and stripped <> '')
     or (type = 'type_spec' and parent_type = 'type_declaration' and stripped <> '')) as keep from judged)""".replace('\\"', '"')
+# The trees have three levels, so a parent is the last line or the root.
 LINKED = RETYPED + """, numbered as (select *, sum(keep::int) over (partition by doc_id order by seq) - 1 as nid from kept),
-linked as (select n.*, case when p.keep then p.nid when g.keep then g.nid end as parent, p.keep and p.nid is not null as direct
-    from numbered n left join numbered p on n.doc_id = p.doc_id and p.seq = n.raw_parent
-    left join numbered g on n.doc_id = g.doc_id and g.seq = p.raw_parent where n.keep)"""
+lifted as (select *, first_value(keep) over w as root_keep, first_value(nid) over w as root_id,
+    arg_max(keep, seq) filter (where depth = 1) over w as line_keep, arg_max(nid, seq) filter (where depth = 1) over w as line_id
+    from numbered window w as (partition by doc_id order by seq)),
+linked as (select *, case when depth = 2 and line_keep then line_id when depth > 0 and root_keep then root_id end as parent,
+    case depth when 1 then root_keep when 2 then line_keep else false end as direct from lifted where keep)"""
 
 
 @query("skip_nodes", f"with {DOCS}, {RETYPED} select doc_id, seq, not keep as skip from kept")
@@ -221,10 +224,12 @@ _CATEGORY = "case " + " ".join(
 RECORDS = DOCS + ", " + LINKED + f", categorized as (select *, {_CATEGORY} as category from linked)"
 
 
-@query("pruned_tree", f"""with {DOCS}, {LINKED} select doc_id, seq, cast(nid as bigint) as id,
-    cast(coalesce(parent, -1) as bigint) as parent from linked""")
+_ID, _PARENT = "cast(nid as bigint)", "cast(parent as bigint)"
+
+
+@query("pruned_tree", f"with {DOCS}, {LINKED} select doc_id, {sql_digest(['seq', _ID, _PARENT, 'type', 'text'])} from linked group by doc_id")
 def _(spark, d):
-    return pruned(spark, d).select("doc_id", "seq", "id", F.coalesce("parent", F.lit(-1)).alias("parent"))
+    return whole_digest(pruned(spark, d), ["seq", "id", "parent", "type", "text"])
 
 
 @query("categorize", f"""with {RECORDS} select type, coalesce(category, 'none') as category, count(*) as nodes from categorized group by all""")
@@ -249,31 +254,38 @@ def _(spark, d):
     return OR.category_counts(pruned(spark, d), ["doc_id"])
 
 
-@query("category_node_lookup", f"""with {RECORDS} select doc_id, cast(nid as bigint) as id, type, sha256(text) as digest
-from categorized where category = 'expressions.calls' or category = 'statements.returns' or category = 'declarations.imports'""")
+@query("category_node_lookup", f"""with {RECORDS} select doc_id, {sql_digest([_ID, 'category', 'type', 'text'])}
+from categorized where category is not null group by doc_id""")
 def _(spark, d):
     nodes = pruned(spark, d)
-    index = OR.category_index(nodes, "doc_id").select("doc_id", F.explode(F.concat(
-        "node_categories.expressions.calls", "node_categories.statements.returns",
-        "node_categories.declarations.imports")).alias("id"))
-    return index.join(nodes, ["doc_id", "id"]).select("doc_id", "id", "type", digest("text").alias("digest"))
+    def listed(group, name):
+        return F.transform(f"node_categories.{group}.{name}", lambda i: F.struct(F.lit(f"{group}.{name}").alias("listed"), i.alias("id")))
+
+    index = OR.category_index(nodes, "doc_id").select("doc_id", F.inline(F.concat(*[listed(g, n) for g, n, _ in CATEGORIES])))
+    return whole_digest(index.join(nodes, ["doc_id", "id"]), ["id", "listed", "type", "text"])
 
 
-@query("nodes_of_category", f"""with {RECORDS} select {SPREAD_LANGUAGE} as language, doc_id, cast(nid as bigint) as id, text
-from categorized where category = 'declarations.functions'""")
+@query("nodes_of_category", f"""with {RECORDS} select category, doc_id, {sql_digest([SPREAD_LANGUAGE, _ID, 'text'])}
+from categorized where category in ('declarations.functions', 'declarations.classes') group by category, doc_id""")
 def _(spark, d):
-    return OT.category_nodes(pruned(spark, d), "declarations.functions").select("language", "doc_id", "id", "text")
+    found = [whole_digest(OT.category_nodes(pruned(spark, d), c), ["language", "id", "text"]).withColumn("category", F.lit(c))
+             for c in ("declarations.functions", "declarations.classes")]
+    return found[0].unionByName(found[1])
 
 
-@query("cross_language_map", f"""with {RECORDS} select doc_id,
+@query("cross_language_map", f"""with {RECORDS}, entries as (select *, {SPREAD_LANGUAGE} as language, text as t,
     case category when 'declarations.functions' then 'function_declarations' when 'declarations.classes' then 'class_declarations'
-        else 'import_statements' end as kind, cast(nid as bigint) as node_id,
-    case category when 'declarations.functions' then 'function' when 'declarations.classes' then 'class' else '' end as universal_type,
-    case when category = 'declarations.imports' then text else substring(text, 1, 100) end as text
-from categorized where category in ('declarations.functions', 'declarations.classes', 'declarations.imports')""")
+        else 'import_statements' end as kind,
+    case category when 'declarations.functions' then 'function' when 'declarations.classes' then 'class' end as universal_type
+    from categorized where category in ('declarations.functions', 'declarations.classes', 'declarations.imports') and text <> ''),
+worded as (select *, {WORDS_SQL} as w from entries),
+named as (select *, case when kind <> 'import_statements' then {NAME_SQL} end as name,
+    case when kind = 'import_statements' then text else substring(text, 1, 100) end as shown from worded)
+select doc_id, {sql_digest(['kind', _ID, 'universal_type', 'name', 'shown'])} from named
+where kind = 'import_statements' or name is not null group by doc_id""")
 def _(spark, d):
     entries = OR.cross_language_entries(pruned(spark, d), "doc_id")
-    return entries.select("doc_id", "kind", "node_id", F.coalesce("universal_type", F.lit("")).alias("universal_type"), "text")
+    return whole_digest(entries, ["kind", "node_id", "universal_type", "name", "text"], "node_id")
 
 
 def _record_inputs(spark, d):
@@ -317,25 +329,25 @@ def _(spark, d):
     return record_json(spark, d)
 
 
-@query("read_record", f"""with {RECORDS} select doc_id, cast(nid as bigint) as id, type, sha256(text) as digest,
-    cast(coalesce(parent, -1) as bigint) as parent, row as start_row, cast(c as bigint) as start_column from categorized""")
+@query("read_record", f"""with {RECORDS} select doc_id, {sql_digest([_ID, 'type', 'text', _PARENT, 'row', 'cast(c as bigint)'])}
+from categorized group by doc_id""")
 def _(spark, d):
     nodes = OR.read_record(record_json(spark, d), "doc_id", "json")
-    return nodes.select("doc_id", "id", "type", digest("text").alias("digest"), F.coalesce("parent", F.lit(-1)).alias("parent"),
-                        F.col("start_point.row").alias("start_row"), F.col("start_point.column").alias("start_column"))
+    return whole_digest(nodes, ["id", "type", "text", "parent", "start_point.row", "start_point.column"])
 
 
-@query("graph_nodes", f"""with {RECORDS} select doc_id, cast(nid as bigint) as id, type || {NL} || case when length(text) > 30
+@query("graph_nodes", f"""with {RECORDS}, drawn as (select *, type || {NL} || case when length(text) > 30
     then '(' || substring(text, 1, 30) || '...)' else text end as label,
-    case when parent is null then '#00c2ff' else '#ffaa00' end as color, 'box' as shape from categorized""")
+    case when parent is null then '#00c2ff' else '#ffaa00' end as color from categorized)
+select doc_id, {sql_digest([_ID, 'label', 'color', "'box'"])} from drawn group by doc_id""")
 def _(spark, d):
-    return OR.graph_nodes(pruned(spark, d), "doc_id")
+    return whole_digest(OR.graph_nodes(pruned(spark, d), "doc_id"), ["id", "label", "color", "shape"])
 
 
-@query("graph_edges", f"""with {RECORDS} select doc_id, cast(parent as bigint) as source, cast(nid as bigint) as target
-from categorized where parent is not null""")
+@query("graph_edges", f"""with {RECORDS} select doc_id, {sql_digest([_PARENT, _ID])}
+from categorized where parent is not null group by doc_id""")
 def _(spark, d):
-    return OR.graph_edges(pruned(spark, d), "doc_id")
+    return whole_digest(OR.graph_edges(pruned(spark, d), "doc_id"), ["source", "target"], "target")
 
 
 # Records spoiled in one way each.
