@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from grovekit.catalog.profile import rounded
-from grovekit.catalog.registry import query, samples, table
+from grovekit.catalog.registry import SPREAD_LANGUAGE, query, samples, spread_language, table
 from grovekit.catalog.tree import DOCS, RECORDS, TAGS, pruned, record_json, tag_nodes, text_nodes
 from grovekit.operators import distribution as D, profiling as OP
 from grovekit.plans import analysis as A, preparation as P
@@ -37,9 +37,27 @@ def _(spark, d):
     return D.type_counts(text_nodes(spark, d, ["language"]), ["language"])
 
 
-@query("record_type_counts", f"with {RECORDS} select type, count(*) as cnt from categorized group by type")
+# Of five records one is cut short and one is written with single quotes, as another record.
+QUOTED = """{'ast': {'nodes': [{'id': 0, 'type': 'quoted'}, {'inner': [{'type': 'deep', 'x': {'type': 'deeper'}}]}]}}"""
+
+
+def broken_json(spark, d):
+    i = F.col("doc_id") % 5
+    return record_json(spark, d).withColumn("json", F.when(i == 1, F.expr("substring(json, 1, length(json) - 2)")).when(
+        i == 2, QUOTED).otherwise(F.col("json")))
+
+
+@query("record_type_counts", f"""with {RECORDS} select type, cast(sum(n) as bigint) as cnt from (
+    select type, count(*) as n from categorized where doc_id % 5 not in (1, 2) group by type
+    union all select unnest(['quoted', 'deep', 'deeper']), (select count(*) from samples where doc_id % 5 = 2)) group by type having sum(n) > 0""")
+def _(spark, d):
+    return A.record_type_counts(broken_json(spark, d), [], "json")
+
+
+@query("unparsed_records", f"""with {RECORDS} select {SPREAD_LANGUAGE} as language, count(*) as records,
+    count(*) filter (where doc_id % 5 = 1) as unparsed from samples group by 1""")
 def _(spark, d):
-    return A.record_type_counts(record_json(spark, d), [], "json")
+    return A.unparsed_counts(broken_json(spark, d).withColumn("language", spread_language()), ["language"], "json")
 
 
 @query("sampled_type_counts", """with ranked as (select event_id, event_type, cast(user_id % 4 as varchar) as language,

@@ -409,21 +409,24 @@ def typed_json(df):
         F.lit('{"type":"record","ast":{"nodes":[{"id":0,"type":"'), kind, F.lit('","text":"\\"type\\":\\"no\\""},{"id":1,"inner":{"type":"'),
         F.lower(kind), F.lit('_inner"}},{"type":"leaf"}]}}'))
     loose = F.concat(F.lit('[{"kind":{"type":"'), kind, F.lit('"},"more":[{"type" : "x"}]},{"type":"other"}]'))
-    return df.withColumn("json", F.when(F.col("event_id") % 2 == 0, listed).otherwise(loose))
+    single = F.concat(F.lit("{'a': {'type': '"), kind, F.lit("'}, 'b': [1, {'t\\u0079pe': 'z'}]}"))
+    i = F.col("event_id") % 7
+    return df.withColumn("json", F.when(i == 5, single).when(i == 6, F.concat(F.lit('{"type":"cut"'), kind)).otherwise(
+        F.when(F.col("event_id") % 2 == 0, listed).otherwise(loose)))
 
 
-@query("collect_types", """select event_id, case when event_id % 2 = 0 then 'record,' || event_type || ',' || event_type || '_inner,leaf'
-    else event_type || ',x,other' end as types from events""")
+@query("collect_types", """select event_id, case when event_id % 7 = 5 then event_type || ',z' when event_id % 7 = 6 then 'unparsed'
+    when event_id % 2 = 0 then event_type || ',' || event_type || '_inner,leaf,record' else event_type || ',x,other' end as types from events""")
 def _(spark, d):
     return typed_json(table(spark, d, "events")).select(
-        "event_id", F.array_join(N.collect_types("json"), ",").alias("types"))
+        "event_id", F.coalesce(F.array_join(N.collect_types("json"), ","), F.lit("unparsed")).alias("types"))
 
 
-@query("node_types", """select event_id, case when event_id % 2 = 0 then event_type || ',' || event_type || '_inner,leaf'
-    else event_type || ',x' end as types from events""")
+@query("node_types", """select event_id, case when event_id % 7 = 5 then event_type || ',z' when event_id % 7 = 6 then 'unparsed'
+    when event_id % 2 = 0 then event_type || ',' || event_type || '_inner,leaf' else event_type || ',x' end as types from events""")
 def _(spark, d):
     return typed_json(table(spark, d, "events")).select(
-        "event_id", F.array_join(N.node_types("json"), ",").alias("types"))
+        "event_id", F.coalesce(F.array_join(N.node_types("json"), ","), F.lit("unparsed")).alias("types"))
 
 
 @query("error_count", f"""with {SAMPLES}, dumped as (select doc_id, replace(code, ', ', ' (ERROR) ') as dump from samples)

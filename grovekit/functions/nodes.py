@@ -11,7 +11,7 @@ from grovekit.functions.text import python_strip
 
 SNIPPET_CHARS = 100
 LABEL_CHARS = 30
-_TYPE_PAIR = r'"type"\s*:\s*("(?:[^"\\]|\\.)*")'
+_TYPE_PAIR = r'"type":("(?:[^"\\]|\\.)*")'
 
 
 def _any(conditions):
@@ -69,32 +69,56 @@ def graph_colour(parent):
 
 def safe_parse_json(column):
     """Parsed value; a text that fails is tried again with double for single quotes."""
-    text = F.col(column)
+    text = F.col(column) if isinstance(column, str) else column
     return F.coalesce(
         F.try_parse_json(text), F.try_parse_json(F.replace(text, F.lit("'"), F.lit('"')))
     )
 
 
-def _json_strings(quoted):
-    joined = F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]"))
-    return F.from_json(joined, "array<string>")
+def _once(value, use):
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def parsed_text(column):
+    """The parsed value as text in one spelling: no white space, plain letters for escaped ones, keys in order.
+
+    Null for a text that cannot be parsed.
+    """
+    return F.to_json(safe_parse_json(column))
+
+
+def unparsed(column):
+    """True for a text that cannot be parsed, not even after the second try."""
+    text = F.col(column) if isinstance(column, str) else column
+    return text.isNotNull() & safe_parse_json(column).isNull()
+
+
+def _types_in(text):
+    """Strings under a key ``type`` of a text in one spelling, where a quote inside a string is always escaped."""
+    quoted = F.regexp_extract_all(text, F.lit(_TYPE_PAIR), F.lit(1))
+    return F.from_json(F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]")), "array<string>")
 
 
 def collect_types(json):
-    """Every string under a key ``type``, at any depth."""
-    json = F.col(json) if isinstance(json, str) else json
-    return _json_strings(F.regexp_extract_all(json, F.lit(_TYPE_PAIR), F.lit(1)))
+    """Every string under a key ``type``, at any depth, with keys in order; null for what cannot be parsed."""
+    return _types_in(parsed_text(json))
 
 
 def node_types(json):
     """Types of ``ast.nodes``; of the whole value where there is no such list.
 
     A list stands for its first element; a node without a type is searched at any depth.
+    Null for what cannot be parsed, which counts nothing.
     """
-    json = F.col(json) if isinstance(json, str) else json
-    first = F.when(F.ltrim(json).startswith("["), F.get_json_object(json, "$[0]")).otherwise(json)
-    nodes = F.from_json(first, "struct<ast:struct<nodes:array<string>>>")["ast"]["nodes"]
-    found = F.flatten(F.transform(nodes, lambda node: F.when(
-        F.get_json_object(node, "$.type").isNotNull(), F.array(F.get_json_object(node, "$.type"))
-    ).otherwise(collect_types(node))))
-    return F.when(nodes.isNotNull(), found).otherwise(collect_types(first))
+    def of_node(node):
+        return _once(F.get_json_object(node, "$.type"), lambda own: F.when(own.isNotNull(), F.array(own)).otherwise(_types_in(node)))
+
+    def of_value(value):
+        listed = F.from_json(value, "struct<ast:struct<nodes:array<string>>>")["ast"]["nodes"]
+        return _once(listed, lambda nodes: F.when(nodes.isNotNull(), F.flatten(F.transform(nodes, of_node))).otherwise(_types_in(value)))
+
+    def of_text(text):
+        return _once(F.when(text.startswith("["), F.get_json_object(text, "$[0]")).otherwise(text), of_value)
+
+    return _once(parsed_text(json), of_text)

@@ -113,7 +113,11 @@ def test_json(spark):
     docs = ['{"k": 1}', "{'k': 2}", "{", None, '{"a":[{"type":"x\\"y"},{"b":{"type":"z"}}],"t":"\\"type\\": \\"no\\""}']
     parsed = column(spark, docs, F.try_variant_get(N.safe_parse_json("code"), "$.k", "int"))
     assert parsed == [1, 2, None, None, None]
-    assert column(spark, docs, N.collect_types("code"))[4] == ['x"y', "z"]
+    assert column(spark, docs, N.collect_types("code")) == [[], [], None, None, ['x"y', "z"]]
+    assert column(spark, docs, N.unparsed("code")) == [False, False, True, False, False]
+    deep = '{"type":' * 60 + '"x"' + "}" * 60
+    odd = [deep, '{"t\\u0079pe": "a", "b": {"type" : "c\\\\"}}', "[]", "3", '{"type": 3}', "{'type': 'it', \"b\": [{'type': 'b'}]}", '{"type":"x"']
+    assert column(spark, odd, N.collect_types("code")) == [["x"], ["c\\", "a"], [], [], [], ["b", "it"], None]
     shaped = ['{"ast":{"nodes":[]},"type":"r"}', '{"ast":{},"type":"r"}', '[{"type":"a"},{"type":"b"}]',
               '{"ast":{"nodes":[{"type":"a"},{"x":{"type":"b"}}]}}']
     assert column(spark, shaped, N.node_types("code")) == [[], ["r"], ["a"], ["a", "b"]]
