@@ -2,11 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from grovekit.catalog.registry import MEASURED, SAMPLES, SPREAD_LANGUAGE, digest, query, r6, samples, spread_language, table
-from grovekit.catalog.tree import converted
-from grovekit.operators.filters import valid_rows
-
-from grovekit.plans import preparation as P
+from grovekit.catalog.registry import MEASURED, SAMPLES, digest, query, r6, samples, spread_language, table
+from grovekit.plans import conversion as C, preparation as P
 from grovekit.session import stage_path
 from grovekit.sources import keyed as SK, readers as SR, writers as SW
 from grovekit.streaming import incremental as SI
@@ -84,31 +81,60 @@ def _(spark, d):
     return spark.read.schema(stats.schema).option("header", True).csv(f"{path}/file_level").select("file", "language", "rows")
 
 
-@query("write_converted", """select source as input_file, count(*) as total_rows,
-    count(*) filter (where doc_id % 19 <> 0 and text <> '') as successful_conversions from documents group by source""")
-def _(spark, d):
-    return SW.write_converted(converted(spark, d), stage_path(spark, "converted"))
+# Conversion with a number that is not one in every 23rd sample.
+def spoilt_samples(df):
+    return df.select("doc_id", F.col("lang").alias("language"), F.col("text").alias("code"), F.col("source").alias("file")).withColumn(
+        "language", F.when(F.col("doc_id") % 19 == 0, "pascal").otherwise(spread_language()))
+
+
+def converted_samples(df):
+    measured = P.with_raw_metrics(spoilt_samples(df))
+    found = C.convert_samples(measured, "doc_id")
+    return found.withColumn("avg_line_length", F.when(F.col("doc_id") % 23 == 0, float("nan")).otherwise(F.col("avg_line_length")))
+
 
+def read_back(rows, counts):
+    """Counts per input file, with what was read back."""
+    source = F.get_json_object("universal_schema", "$.metadata.source_hash")
+    lines = F.sort_array(F.collect_list(F.struct("doc_id", source.alias("h"))))
+    found = rows.groupBy(F.col("file").alias("input_file")).agg(
+        F.count(F.lit(1)).alias("rows_read"), F.array_join(lines["h"], ",").alias("_all")).select("input_file", "rows_read", digest("_all").alias("digest"))
+    return counts.join(found, "input_file", "left").fillna({"rows_read": 0, "digest": ""})
 
-# Usable samples with clean metrics, as the incremental run and the batch run both give them.
-def measured_batch(df):
-    renamed = df.select("doc_id", F.col("lang").alias("language"), F.col("text").alias("code"))
-    spread = renamed.withColumn("language", F.when(F.col("doc_id") % 6 == 0, "pascal").otherwise(spread_language()))
-    return P.with_raw_metrics(valid_rows(spread)).select("doc_id", "language", "line_count", digest("code").alias("digest"))
+
+CONVERTED_SQL = """select source as input_file, count(*) as total_rows, count(*) filter (where fine) as successful_conversions,
+    count(*) filter (where fine) as rows_read, coalesce(case when count(*) filter (where fine) > 0
+        then sha256(string_agg(sha256(text), ',' order by doc_id) filter (where fine)) end, '') as digest
+    from (select *, doc_id % 19 <> 0 and doc_id % 23 <> 0 and text <> '' as fine from documents) group by source"""
+
+
+@query("write_converted", CONVERTED_SQL)
+def _(spark, d):
+    path = stage_path(spark, "converted")
+    rows = converted_samples(table(spark, d, "documents"))
+    counts = SW.write_converted(rows, path)
+    return read_back(SW.read_converted(spark, path, rows.schema), counts)
 
 
-@query("incremental_convert", f"""select doc_id, {SPREAD_LANGUAGE} as language, len(string_split(text, chr(10))) as line_count,
-    sha256(text) as digest from documents where doc_id % 6 <> 0 and text <> ''""")
+@query("incremental_convert", CONVERTED_SQL)
 def _(spark, d):
+    """Two runs, with files added between."""
     base = stage_path(spark, "incremental")
-    return SI.incremental_convert(
-        spark, d, table(spark, d, "documents").schema, measured_batch, f"{base}/out", f"{base}/state", "documents.parquet")
+    docs = table(spark, d, "documents")
+    for i in range(2):
+        docs.where(F.col("doc_id") % 2 == i).write.mode("append").parquet(f"{base}/in")
+        rows, counts = SI.incremental_conversion(
+            spark, f"{base}/in", docs.schema, lambda batch: converted_samples(batch.drop("file")), f"{base}/out", f"{base}/state")
+    return read_back(rows, counts)
 
 
-@query("incremental_dedup", """select doc_id from (select doc_id, row_number() over (partition by sha256(text) order by doc_id) as r
+@query("incremental_dedup", """select doc_id from (select doc_id, row_number() over (partition by sha256(text) order by doc_id % 3, doc_id) as r
     from documents) where r = 1""")
 def _(spark, d):
+    """Three batches, the rows of each by remainder; earlier batches win."""
     base = stage_path(spark, "dedup")
-    return SI.incremental_dedup(
-        spark, d, table(spark, d, "documents").schema, "doc_id", "text", f"{base}/out", f"{base}/state", "documents.parquet"
-    ).select("doc_id")
+    docs = table(spark, d, "documents")
+    for i in range(3):
+        docs.where(F.col("doc_id") % 3 == i).write.mode("append").parquet(f"{base}/in")
+        kept = SI.incremental_dedup(spark, f"{base}/in", docs.schema, "doc_id", "text", f"{base}/out", f"{base}/state")
+    return kept.select("doc_id")

@@ -158,6 +158,17 @@ def rejected_rows(df, languages=LANGUAGES):
     )
 
 
+def whole_row(df):
+    """Condition: no column is null or NaN."""
+    whole = F.lit(True)
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        whole = whole & column.isNotNull()
+        if field.dataType.typeName() in ("float", "double"):
+            whole = whole & ~F.isnan(column)
+    return whole
+
+
 def drop_any_null(df):
     """Rows without null or NaN in any column."""
     return df.na.drop("any")

@@ -86,7 +86,12 @@ def test_convert(spark, corpus, tmp_path):
     assert summary["TOTAL"] == (400, 390) and summary["f0"] == (100, 90)
     counts = {r.input_file: r.successful_conversions for r in SW.write_converted(converted, str(tmp_path / "out")).collect()}
     assert counts == {k: v[1] for k, v in summary.items() if k != "TOTAL"}
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 390
+    assert SW.read_converted(spark, str(tmp_path / "out"), converted.schema).count() == 390
+    assert spark.read.parquet(str(tmp_path / "out" / "whole=false")).count() == 10
+    odd = converted.withColumn("avg_line_length", F.when(F.col("id") % 8 == 1, float("nan")).otherwise(F.col("avg_line_length")))
+    counts = {r.input_file: r.successful_conversions for r in SW.write_converted(odd, str(tmp_path / "odd")).collect()}
+    assert counts["f1"] == 50 and counts == {
+        r.file: r.successful_conversions for r in C.convert_folder_summary(odd).collect() if r.file != "TOTAL"}
     json = converted.where("id = 1").first().universal_schema
     assert '"parent":null' in json and '"success":true' in json
 
@@ -113,3 +118,43 @@ def test_incremental_dedup(spark, corpus, tmp_path):
     corpus.where("id >= 150").write.mode("append").parquet(source)
     kept = SI.incremental_dedup(spark, source, corpus.schema, "id", "code", out, state)
     assert {r.id for r in kept.collect()} == {r.id for r in OF.exact_dedup(corpus).collect()}
+
+
+def test_incremental_without_files_and_with_a_new_checkpoint(spark, corpus, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    args = spark, source, corpus.schema, "id", "code", out
+    assert SI.incremental_dedup(*args, str(tmp_path / "first")).count() == 0
+    corpus.where("id < 100").write.mode("append").parquet(source)
+    once = {r.id for r in SI.incremental_dedup(*args, str(tmp_path / "first")).collect()}
+    assert once == {r.id for r in OF.exact_dedup(corpus.where("id < 100")).collect()}
+    # All files again under another checkpoint: everything is known, and the earlier output stays.
+    assert {r.id for r in SI.incremental_dedup(*args, str(tmp_path / "second")).collect()} == once
+    convert = spark, source, corpus.schema, lambda df: df.select("id"), str(tmp_path / "ids")
+    assert SI.incremental_convert(*convert, str(tmp_path / "a")).count() == 100
+    assert SI.incremental_convert(*convert, str(tmp_path / "a")).count() == 100
+    assert SI.incremental_convert(*convert, str(tmp_path / "b")).count() == 200
+
+
+def test_hash_state(spark, tmp_path):
+    state = SI.HashState(spark, str(tmp_path / "state"), digits=1, loose=3)
+
+    def table(*values):
+        return spark.createDataFrame([(v,) for v in values], "content_hash string")
+
+    everything = table(*[f"{c}zzz" for c in "0123456789abcdef"])
+    seen = set()
+    for n in range(8):
+        known = state.known(everything, (0, n))
+        assert {r.content_hash for r in known.collect()} == seen
+        state.add(table(f"a{n}", f"{n}b"), 0, n)
+        seen |= {f"a{n}", f"{n}b"}
+    # A batch that is run again does not see itself; a base that was not finished is not read.
+    assert {r.content_hash for r in state.known(everything, (0, 7)).collect()} == seen - {"a7", "7b"}
+    bases = SI._numbers(spark, str(tmp_path / "state"), "base")
+    assert bases == [3, 6]
+    (tmp_path / "state" / "base=6" / "_complete").unlink()
+    few = state.known(table("a", "a1"), (0, 9))
+    assert {r.content_hash for r in few.collect()} == {f"a{n}" for n in range(8)}
+    filters = [x.split("]")[0] for x in few._jdf.queryExecution().toString().split("PartitionFilters: [")[1:]]
+    assert len(filters) == 6 and all("prefix" in x and "a" in x for x in filters)  # five loose batches and a base
