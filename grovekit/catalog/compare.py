@@ -4,11 +4,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from grovekit.catalog.profile import rounded
+from grovekit.catalog.profile import BUCKET_LABELS, BUCKET_SQL, FILES, PAIRS, files, rounded
 from grovekit.catalog.registry import SPREAD_LANGUAGE, query, samples, spread_language, table
 from grovekit.catalog.tree import DOCS, RECORDS, TAGS, pruned, record_json, tag_nodes, text_nodes
 from grovekit.operators import distribution as D, profiling as OP
 from grovekit.plans import analysis as A, preparation as P
+from grovekit.session import stage_path, staged
+from grovekit.sources.writers import write_csv
 
 COUNTS = TAGS + ", counts as (select language, type, count(*) as cnt from page_nodes group by all)"
 SHARES = COUNTS + ", shares as (select language, type, cnt / sum(cnt) over (partition by language) as p from counts)"
@@ -23,7 +25,8 @@ def counts(spark, d):
 
 
 def shares(spark, d):
-    return D.type_distribution(counts(spark, d))
+    """Shares from counts that are taken once, however often they are read."""
+    return D.type_distribution(staged(counts(spark, d), "type-counts"))
 
 
 @query("type_counts", f"with {COUNTS} select language, type, cnt from counts")
@@ -155,15 +158,49 @@ def _(spark, d):
     return D.average_linkage(D.distance_pairs(D.type_cosine(shares(spark, d))))
 
 
-@query("plot_tables", f"""with {COSINES} select 'entropy' as plot, language as x, '' as y, round(-sum(p * log2(p)), 6) as value
-from shares where p > 0 group by language
+# Data behind the plots: histogram, boxes, storage, correlation, share, similarity and entropy.
+PLOTS = f"""select 'entropy' as plot, language as x, '' as y, round(-sum(p * log2(p)), 6) as value from shares where p > 0 group by language
 union all select 'similarity', a, b, round(sim, 6) from cosines
-union all select 'share', lang, '', round(100.0 * count(*) / sum(count(*)) over (), 6) from documents group by lang""")
-def _(spark, d):
-    s = shares(spark, d)
-    parts = [
-        D.type_entropy(s).select(F.lit("entropy").alias("plot"), F.col("language").alias("x"), F.lit("").alias("y"), F.col("entropy_bits").alias("value")),
-        D.type_cosine(s).select(F.lit("similarity").alias("plot"), F.col("a").alias("x"), F.col("b").alias("y"), F.col("sim").alias("value")),
-        OP.language_share(samples(spark, d)).select(F.lit("share").alias("plot"), F.col("language").alias("x"), F.lit("").alias("y"), F.col("percent").alias("value")),
-    ]
-    return rounded(reduce(lambda a, b: a.unionByName(b), parts), "value")
+union all select 'share', lang, '', round(100.0 * count(*) / sum(count(*)) over (), 6) from documents group by lang
+union all select 'storage', language, 'disk_bytes', cast(sum(disk_bytes) as double) from files group by language
+union all select 'storage', language, 'total_rows', cast(sum(rows) as double) from files group by language
+union all select 'buckets', language, b, count(*) filter (where {BUCKET_SQL.format('line_count')} = i) from measured
+    cross join (select unnest(range(11)) as i, unnest({BUCKET_LABELS}) as b) group by language, b
+union all select 'box', language, 'p25', round(quantile_cont(avg_line_length, 0.25), 6) from measured group by language
+union all select 'box', language, 'p50', round(quantile_cont(avg_line_length, 0.5), 6) from measured group by language
+union all select 'box', language, 'p75', round(quantile_cont(avg_line_length, 0.75), 6) from measured group by language
+union all """ + " union all ".join(f"select 'correlation', '{a}', '{b}', round(corr({a}, {b}), 6) from files" for a, b in PAIRS)
+
+
+def plot_tables(spark, d):
+    s, stats, measured = shares(spark, d), staged(files(spark, d), "file-stats"), P.with_raw_metrics(samples(spark, d))
+
+    def plot(df, name, x, y, value):
+        text = [F.lit("") if c is None else F.col(c) for c in (x, y)]
+        return df.select(F.lit(name).alias("plot"), text[0].alias("x"), text[1].alias("y"), F.col(value).cast("double").alias("value"))
+
+    def long(df, columns):
+        return df.select("language", *[F.col(c).cast("double") for c in columns]).unpivot(["language"], columns, "y", "value")
+
+    return reduce(lambda a, b: a.unionByName(b), [
+        plot(D.type_entropy(s), "entropy", "language", None, "entropy_bits"),
+        plot(D.type_cosine(s), "similarity", "a", "b", "sim"),
+        plot(OP.language_share(samples(spark, d)), "share", "language", None, "percent"),
+        plot(long(OP.storage_by_language(stats), ["disk_bytes", "total_rows"]), "storage", "language", "y", "value"),
+        plot(OP.line_buckets(measured, ["language"]), "buckets", "language", "bucket", "samples"),
+        plot(long(OP.boxplot_stats(measured, ["language"], "avg_line_length"), ["p25", "p50", "p75"]), "box", "language", "y", "value"),
+        plot(OP.correlation(stats), "correlation", "column_a", "column_b", "corr"),
+    ])
+
+
+@query("plot_tables", f"with {COSINES}, {FILES} {PLOTS}")
+def _(spark, d):
+    return rounded(plot_tables(spark, d), "value")
+
+
+@query("write_csv", f"with {COSINES}, {FILES} {PLOTS}")
+def _(spark, d):
+    path = stage_path(spark, "csv")
+    tables = plot_tables(spark, d)
+    write_csv(tables, path)
+    return rounded(spark.read.schema(tables.schema).option("header", True).csv(path).fillna("", ["x", "y"]), "value")

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from grovekit.catalog.registry import MEASURED, SAMPLES, digest, query, r6, samples, spread_language, table
+from grovekit.catalog.profile import FILES, files
+from grovekit.operators import profiling as OP
 from grovekit.plans import conversion as C, preparation as P
-from grovekit.session import stage_path
+from grovekit.session import stage_path, staged
 from grovekit.sources import keyed as SK, readers as SR, writers as SW
 from grovekit.streaming import incremental as SI
 
@@ -37,9 +39,19 @@ def _(spark, d):
     return SR.scan_columns(spark, f"{d}/documents.parquet", "text")
 
 
-@query("scan_glob", "select 'documents.parquet' as file, count(*) as rows from documents")
+_PART = "'part=' || lang"
+
+
+@query("scan_glob", f"""select {_PART} as part, count(*) as rows, cast(sum(length(text)) as bigint) as chars from documents
+where lang in ('en', 'es') group by all""")
 def _(spark, d):
-    return SR.scan_glob(spark, d, "doc*.parquet").groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    """Files of several folders, by a pattern for their names."""
+    path = stage_path(spark, "glob")
+    docs = table(spark, d, "documents").withColumn("part", F.col("lang"))
+    docs.write.partitionBy("part").parquet(path)
+    found = SR.scan_glob(spark, f"{path}/part=e*", "part-*.parquet", docs.drop("part").schema)
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return found.groupBy(folder.alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text")).alias("chars"))
 
 
 @query("file_footprint", """select 'documents.parquet' as file, count(*) as rows,
@@ -64,21 +76,25 @@ def _(spark, d):
     return SR.scan_keyed_json(spark, path).select("language", "key", digest("code").alias("digest"), "line_count")
 
 
-@query("write_csv", """select lang as language, count(*) as rows from documents group by lang""")
-def _(spark, d):
-    path = stage_path(spark, "csv")
-    SW.write_csv(samples(spark, d).groupBy("language").agg(F.count(F.lit(1)).alias("rows")), path)
-    return spark.read.schema("language string, rows bigint").option("header", True).csv(path)
-
-
-@query("write_summary", """select lang || '_parsed_' || source as file, lang as language, count(*) as rows from documents group by all""")
+@query("write_summary", f"""with {FILES}, found as (
+    select 'file' as level, file as name, cast(rows as bigint) as rows, disk_bytes, memory_bytes, mean_line_count, mean_errors from files
+    union all select 'language', language, sum(rows), sum(disk_bytes), sum(memory_bytes), sum(mean_line_count * rows) / sum(rows),
+        sum(mean_errors * rows) / sum(rows) from files group by language
+    union all select 'overall', '', sum(rows), sum(disk_bytes), sum(memory_bytes), sum(mean_line_count * rows) / sum(rows),
+        sum(mean_errors * rows) / sum(rows) from files)
+select level, name, cast(rows as bigint) as rows, cast(disk_bytes as bigint) as disk_bytes, cast(memory_bytes as bigint) as memory_bytes,
+    round(mean_line_count, 6) as mean_line_count, round(mean_errors, 6) as mean_errors from found""")
 def _(spark, d):
-    from grovekit.catalog.profile import files
-    from grovekit.operators import profiling as OP
     path = stage_path(spark, "summary")
-    stats = files(spark, d)
-    SW.write_summary(stats, OP.language_stats(stats), OP.overall_stats(stats), path)
-    return spark.read.schema(stats.schema).option("header", True).csv(f"{path}/file_level").select("file", "language", "rows")
+    stats = staged(files(spark, d), "file-stats")
+    tables = {"file": stats, "language": OP.language_stats(stats), "overall": OP.overall_stats(stats)}
+    SW.write_summary(*tables.values(), path)
+    names = {"file": ("file_level", F.col("file"), "rows"), "language": ("language_level", F.col("language"), "total_rows"),
+             "overall": ("overall", F.lit(""), "total_rows")}
+    read = [spark.read.schema(tables[k].schema).option("header", True).csv(f"{path}/{folder}").select(
+        F.lit(k).alias("level"), name.alias("name"), F.col(rows).cast("long").alias("rows"), "disk_bytes", "memory_bytes",
+        r6("mean_line_count").alias("mean_line_count"), r6("mean_errors").alias("mean_errors")) for k, (folder, name, rows) in names.items()]
+    return read[0].unionByName(read[1]).unionByName(read[2])
 
 
 # Conversion with a number that is not one in every 23rd sample.

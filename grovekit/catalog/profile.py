@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from grovekit.catalog.registry import (
-    MEASURED, NODE_COUNT, SAMPLES, query, r6, samples, table,
+    MEASURED, NODE_COUNT, SAMPLES, digest, query, r6, samples, table,
 )
 from grovekit.operators import filters as OF, profiling as OP, ranking as R
 from grovekit.operators.trees import text_node_count
 from grovekit.plans import preparation as P
-from grovekit.sources.writers import quarter, with_quarter, with_sequential_key
+from grovekit.session import stage_path
+from grovekit.sources.writers import with_quarter, with_sequential_key, write_quarters
 
 
 def _measured(spark, d):
@@ -41,13 +42,14 @@ def _(spark, d):
     return rounded(OP.describe_columns(table(spark, d, "lineitem"), ["l_returnflag"], ["l_extendedprice"]), *_SUMMARY)
 
 
-_BUCKET = "least(10, greatest(0, cast(ceil({0} / 100) as int) - 1))"
+BUCKET_LABELS = """['0-100', '101-200', '201-300', '301-400', '401-500', '501-600',
+    '601-700', '701-800', '801-900', '901-1000', '1000+']"""
+BUCKET_SQL = "least(10, greatest(0, cast(ceil({0} / 100) as int) - 1))"
 
 
 @query("line_buckets", f"""with {MEASURED}, widened as (select language, line_count * 23 as line_count from measured),
-labels as (select unnest(range(11)) as i, unnest(['0-100', '101-200', '201-300', '301-400', '401-500', '501-600',
-    '601-700', '701-800', '801-900', '901-1000', '1000+']) as bucket),
-held as (select language, {_BUCKET.format('line_count')} as i, count(*) as n from widened group by all),
+labels as (select unnest(range(11)) as i, unnest({BUCKET_LABELS}) as bucket),
+held as (select language, {BUCKET_SQL.format('line_count')} as i, count(*) as n from widened group by all),
 keys as (select distinct language from widened)
 select k.language, l.bucket, coalesce(h.n, 0) as samples
 from keys k cross join labels l left join held h on h.language = k.language and h.i = l.i""")
@@ -177,12 +179,12 @@ def _(spark, d):
     return rounded(OP.split_variation(files(spark, d)), "cv_mean_line_count", "cv_mean_ast_nodes")
 
 
-_PAIRS = [("mean_errors", "mean_ast_nodes"), ("mean_errors", "mean_line_count"), ("mean_errors", "zero_error_ratio"),
+PAIRS = [("mean_errors", "mean_ast_nodes"), ("mean_errors", "mean_line_count"), ("mean_errors", "zero_error_ratio"),
           ("mean_ast_nodes", "mean_line_count"), ("mean_ast_nodes", "zero_error_ratio"), ("mean_line_count", "zero_error_ratio")]
 
 
 @query("correlation", f"with {FILES} " + " union all ".join(
-    f"select '{a}' as column_a, '{b}' as column_b, round(corr({a}, {b}), 6) as corr from files" for a, b in _PAIRS))
+    f"select '{a}' as column_a, '{b}' as column_b, round(corr({a}, {b}), 6) as corr from files" for a, b in PAIRS))
 def _(spark, d):
     return rounded(OP.correlation(files(spark, d)), "corr")
 
@@ -238,10 +240,15 @@ def _(spark, d):
     return with_quarter(samples(spark, d), ["language"], "doc_id").select("doc_id", "language", "part")
 
 
-@query("write_quarters", f"with {SAMPLES}, {_INDEXED} select language, part, count(*) as rows from quartered group by all")
+@query("write_quarters", f"""with {SAMPLES}, {_INDEXED} select language, part, count(*) as rows,
+    sha256(string_agg(doc_id || ':' || sha256(code), ',' order by doc_id)) as digest
+from quartered join samples using (doc_id, language) group by language, part""")
 def _(spark, d):
-    parts = R.index_by_column(samples(spark, d).drop("code"), ["language"], "doc_id").withColumn("part", quarter())
-    return parts.groupBy("language", "part").agg(F.count(F.lit(1)).alias("rows"))
+    path = stage_path(spark, "quarters")
+    write_quarters(samples(spark, d), path, "doc_id")
+    lines = F.sort_array(F.collect_list(F.struct("doc_id", F.concat_ws(":", F.col("doc_id").cast("string"), digest("code")).alias("line"))))
+    return spark.read.parquet(path).groupBy("language", "part").agg(
+        F.count(F.lit(1)).alias("rows"), F.array_join(lines["line"], ",").alias("_all")).select("language", "part", "rows", digest("_all").alias("digest"))
 
 
 _SHUFFLED = """shuffled as (select doc_id, language, file, row_number() over (partition by language

@@ -95,12 +95,26 @@ length_caps as (select language, quantile_cont(avg_line_length, 0.8) as cap from
 capped as (select s.* from short s join length_caps using (language) where avg_line_length <= cap)"""
 
 
-@query("iqr_filter", f"""with {MEASURED}, {FENCED}
-select doc_id, language, round(avg_line_length, 6) as avg_line_length from fenced""")
+# Samples of which some have no line length, or one that is not a number.
+UNMEASURED = """unmeasured as (select doc_id, language, line_count, case when doc_id % 29 = 0 then null
+    when doc_id % 31 = 0 then 'nan'::double else avg_line_length end as avg_line_length from measured),
+quartiles as (select language, quantile_cont(avg_line_length, 0.25) as q1, quantile_cont(avg_line_length, 0.75) as q3
+    from unmeasured where not isnan(avg_line_length) group by language),
+inside as (select u.* from unmeasured u left join quartiles q using (language) where avg_line_length is null or isnan(avg_line_length)
+    or avg_line_length between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1))"""
+
+
+def unmeasured(spark, d):
+    length = F.when(F.col("doc_id") % 29 == 0, None).when(F.col("doc_id") % 31 == 0, float("nan")).otherwise(F.col("avg_line_length"))
+    return P.with_raw_metrics(samples(spark, d)).withColumn("avg_line_length", length)
+
+
+@query("iqr_filter", f"""with {MEASURED}, {UNMEASURED} select doc_id, language,
+    case when avg_line_length is null then -1 when isnan(avg_line_length) then -2 else round(avg_line_length, 6) end as avg_line_length from inside""")
 def _(spark, d):
-    measured = P.with_raw_metrics(samples(spark, d))
-    return OF.iqr_filter(measured, ["language"], "avg_line_length").select(
-        "doc_id", "language", r6("avg_line_length").alias("avg_line_length"))
+    kept = OF.iqr_filter(unmeasured(spark, d), ["language"], "avg_line_length")
+    length = F.col("avg_line_length")
+    return kept.select("doc_id", "language", F.when(length.isNull(), -1.0).when(F.isnan(length), -2.0).otherwise(r6(length)).alias("avg_line_length"))
 
 
 @query("percentile_cap", f"""with {MEASURED}, {capped('measured')}

@@ -235,18 +235,33 @@ def source_hash(column):
     return F.sha2(F.encode(_col(column), "UTF-8"), 256)
 
 
+_SUMMED_AT_ONCE = 256
+
+
+def running_totals(numbers):
+    """Sum of what stands before each number of a list.
+
+    Sums are taken inside blocks and over blocks, so that no list grows number by number.
+    """
+    def summed(block, start):
+        return F.aggregate(block, F.array(start), lambda sums, n: F.concat(sums, F.array(F.element_at(sums, -1) + n)))
+
+    def of_blocks(blocks):
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda a, n: a + n))
+        return F.flatten(F.zip_with(blocks, summed(totals, F.lit(0)), lambda block, start: F.coalesce(
+            F.slice(summed(block, start), 1, F.size(block)), F.array().cast("array<int>"))))
+
+    def of_list(listed):
+        firsts = F.when(F.size(listed) > 0, F.sequence(F.lit(1), F.size(listed), F.lit(_SUMMED_AT_ONCE))).otherwise(
+            F.array().cast("array<int>"))
+        return F.get(F.transform(F.array(F.transform(firsts, lambda i: F.slice(listed, i, _SUMMED_AT_ONCE))), of_blocks), 0)
+
+    return F.when(numbers.isNotNull(), F.get(F.transform(F.array(numbers), of_list), 0))
+
+
 def line_offsets(column):
     """Character offset of every line start."""
-    return F.transform(
-        F.aggregate(
-            F.slice(lines(column), 1, F.size(lines(column)) - 1),
-            F.array(F.lit(0)),
-            lambda starts, line: F.concat(
-                starts, F.array(F.element_at(starts, -1) + F.length(line) + 1)
-            ),
-        ),
-        lambda start: start.cast("int"),
-    )
+    return running_totals(F.transform(lines(column), lambda line: F.length(line) + 1))
 
 
 def error_count(column):

@@ -34,14 +34,16 @@ def fences_of_quartiles(quartiles):
     })
 
 
+def _outside(column):
+    """Beyond the bounds ``low`` and ``high``; null and NaN lie beyond none."""
+    value = F.col(column).cast("double")
+    return F.coalesce(~F.isnan(value) & ((value < F.col("low")) | (value > F.col("high"))), F.lit(False))
+
+
 def iqr_filter(df, by, column):
-    """Rows inside the outlier bounds of their key, bounds included."""
+    """Rows not outside the outlier bounds of their key; rows without a value stay."""
     bounds = fences(df, by, column).select(*by, "low", "high")
-    return (
-        lookup_join(df, bounds, by)
-        .where(F.col(column).between(F.col("low"), F.col("high")))
-        .drop("low", "high")
-    )
+    return lookup_join(df, bounds, by, "left").where(~_outside(column)).drop("low", "high")
 
 
 def quantile_cap(df, by, column, probability):
@@ -73,13 +75,13 @@ def statistical_bounds(df, by, line_count="line_count", line_length="avg_line_le
         return (
             rows.groupBy(*by, F.col(column).cast("double").alias("value"))
             .agg(F.sum("cnt").alias("cnt"))
-            .where(F.col("value").isNotNull())
+            .where(F.col("value").isNotNull() & ~F.isnan("value"))
         )
 
     bounds = fences_of_quartiles(
         quantiles_of_counts(counted(pairs, line_length), by, {"q1": 0.25, "q3": 0.75}, values)
     ).select(*by, "low", "high")
-    pairs = lookup_join(pairs, bounds, by).where(F.col(line_length).between(F.col("low"), F.col("high")))
+    pairs = lookup_join(pairs, bounds, by).where(~_outside(line_length))
     caps = quantiles_of_counts(counted(pairs, line_count), by, {"line_cap": 0.9}, values)
     pairs = lookup_join(pairs, caps, by).where(F.col(line_count) <= F.col("line_cap"))
     last = quantiles_of_counts(counted(pairs, line_length), by, {"length_cap": 0.8}, values)
@@ -92,7 +94,7 @@ def statistical_filter(df, by, line_count="line_count", line_length="avg_line_le
     return (
         lookup_join(df, bounds, by)
         .where(
-            F.col(line_length).between(F.col("low"), F.col("high"))
+            ~_outside(line_length)
             & (F.col(line_count) <= F.col("line_cap"))
             & (F.col(line_length) <= F.col("length_cap"))
         )

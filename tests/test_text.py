@@ -121,3 +121,20 @@ def test_json(spark):
     shaped = ['{"ast":{"nodes":[]},"type":"r"}', '{"ast":{},"type":"r"}', '[{"type":"a"},{"type":"b"}]',
               '{"ast":{"nodes":[{"type":"a"},{"x":{"type":"b"}}]}}']
     assert column(spark, shaped, N.node_types("code")) == [[], ["r"], ["a"], ["a", "b"]]
+
+
+def test_line_offsets_of_long_texts(spark):
+    texts = ["", "a", "\n", "é\n\nb", "\n".join("x" * (i % 5) for i in range(1000)), "\n" * 255, "\n" * 256, "\n" * 257, None]
+    found = column(spark, texts, T.line_offsets("code"))
+    for text, offsets in zip(texts, found):
+        expected = None if text is None else [0, *[i + 1 for i, c in enumerate(text) if c == "\n"]]
+        assert offsets == expected
+
+
+def test_rows_without_a_metric_stay_until_the_caps(spark):
+    lengths = [1.0, 2.0, 3.0, 4.0, 100.0, None, float("nan")]
+    df = spark.createDataFrame([(i, "c", i + 1, v) for i, v in enumerate(lengths)] + [(9, "go", 1, None)],
+                               "id int, language string, line_count int, avg_line_length double")
+    assert {r.id for r in OF.iqr_filter(df, ["language"], "avg_line_length").collect()} == {0, 1, 2, 3, 5, 6, 9}
+    in_turn = OF.percentile_cap(OF.iqr_filter(df, ["language"], "avg_line_length"), ["language"])
+    assert {r.id for r in OF.statistical_filter(df, ["language"]).collect()} == {r.id for r in in_turn.collect()}
