@@ -6,22 +6,27 @@ base 64) is tested for a uniform alphabet (chi-squared), for runs above and belo
 of the alphabet, and for serial correlation of neighbours; the p-values are combined by
 Fisher's method into one p, near 0 for words and uniform for random strings.
 
-False discoveries are controlled per encoding and length class, because short strings tell
-less: each candidate brings a decoy of equal length, written with letters of its own document,
-and a class reports strings with p from the lowest bound on at which decoys above it,
-plus one, are at most ``RATE`` of the candidates above it. Counts per class and hundredth of p
-are all that is gathered, so any number of candidates will do.
+A string is reported when the battery does not refuse that it is random and it is a discovery
+against the other reading, that it was written with the letters of ordinary text. How near to
+uniform letters of text come by chance follows from their frequencies over all documents, outside
+of candidates, and from the length of the string: the moments of the chi-squared statistic under
+a multinomial law are exact, so short strings, which tell less, get larger p-values.
+False discoveries among the candidates of an encoding are held at ``RATE`` by the procedure of
+Benjamini and Hochberg on these p-values, counted in steps of an eighth of a power of two
+and rounded up. It needs no least number of candidates, and any number will do.
 
 Texts are read once; what is kept of them are spans and candidates. Defined results: a null
-text is empty and has no spans; repeated rows are judged alike; a candidate that overlaps a
-fixed span is not reported again; a class without enough candidates reports none; an empty
-table gives no rows. Further columns are ignored.
+text is empty and has no spans; very long texts and texts of many matches are read whole, in
+time that grows with them; repeated rows are judged alike; a candidate that overlaps a fixed span is not
+reported again; equal p-values are reported or left out together; an empty table gives no
+rows. Further columns are ignored.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from grovekit.functions.text import running_totals
 from grovekit.session import staged
 
 #: Kinds in the order in which ties are listed.
@@ -32,12 +37,16 @@ HEX = r"[0-9a-f]{24,}"  # a whole run, as runs are taken from their first charac
 LEAST = 16
 CANDIDATE = r"[A-Za-z0-9+/_-]{%d,}"
 RATE = 0.05
-#: Encoding: what its strings look like, its alphabet, and what a decoy keeps of a text.
+#: The battery refuses that a string is random below this p.
+REFUSED = 0.01
+_STEPS = 8  # per power of two of a p-value
+#: Encoding: what its strings look like, its alphabet, and the letters of it that texts are written with.
 ENCODINGS = {
-    "hex": (r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", r"[^a-f]"),
-    "base32": (r"^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", r"[^A-Z]"),
-    "base64": (r"^[A-Za-z0-9+/_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", r"[^A-Za-z]"),
+    "hex": (r"^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", "abcdef"),
+    "base32": (r"^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz"),
+    "base64": (r"^[A-Za-z0-9+/_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz"),
 }
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -49,18 +58,20 @@ def _located(text, pattern, check_group=None, least=0):
     whole = matches(0)
     checked = whole if check_group is None else matches(check_group)
     # What stands between the matches tells where they are.
-    steps = F.arrays_zip(F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long")).alias("gap"),
-                         whole.alias("value"), F.transform(checked, F.length).alias("size"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPANS).alias("out"))
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
 
-    def add(state, x):
-        begin = state["at"] + x["gap"]
-        end = begin + F.length(x["value"])
-        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.when(x["value"].isNull(), state).otherwise(F.struct(
-            end.alias("at"), F.when(x["size"] >= least, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out")))
+    def placed(gaps, whole, checked):
+        before = running_totals(F.zip_with(F.slice(gaps, 1, F.size(whole)), whole, lambda g, v: g + F.length(v)))
+        found = F.filter(F.arrays_zip(gaps.alias("gap"), whole.alias("value"), checked.alias("checked"), before.alias("before")),
+                         lambda x: F.length(x["checked"]) >= least)
+        return F.transform(found, lambda x: F.struct(
+            (x["before"] + x["gap"]).cast("long").alias("start"),
+            (x["before"] + x["gap"] + F.length(x["value"])).cast("long").alias("end"), x["value"].alias("value")))
 
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(steps, start, add, lambda s: s["out"])).otherwise(F.array().cast(_SPANS))
+    # Each list is made once, however often it is used.
+    lists = F.array(F.struct(gaps.alias("gaps"), whole.alias("whole"), checked.alias("checked")))
+    spans = F.get(F.transform(lists, lambda x: placed(x["gaps"], x["whole"], x["checked"])), 0)
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(_SPANS))
 
 
 def _labelled(spans, kind):
@@ -68,33 +79,57 @@ def _labelled(spans, kind):
 
 
 def _scanned(docs, least):
-    """One row per document with its fixed spans and candidates; a candidate has its decoy."""
+    """One row per document with its fixed spans, its candidates, and how often it has each letter outside of them."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     fixed = F.array_sort(F.concat(
         _labelled(_located(F.col("text"), ASSIGN, 2, 6), "assign"), _labelled(_located(F.col("text"), ACCESS, 0, 20), "access"),
         _labelled(_located(F.col("text"), HEX), "hex")))
-    read = read.select("doc_id", "text", fixed.alias("fixed"), _located(F.col("text"), CANDIDATE % least).alias("runs"))
-    free = F.filter("runs", lambda r: ~F.exists("fixed", lambda f: (f["start"] < r["end"]) & (r["start"] < f["end"])))
-    pools = F.when(F.size("runs") > 0, F.struct(*[
-        F.regexp_replace(F.upper("text") if name == "base32" else F.col("text"), keep, "").alias(name) for name, (_, _, keep) in ENCODINGS.items()]))
-    read = read.select("doc_id", "fixed", free.alias("runs"), pools.alias("pools"))
+    plain = F.lower(F.regexp_replace("text", CANDIDATE % least, " "))
+    read = read.select("doc_id", fixed.alias("fixed"), _located(F.col("text"), CANDIDATE % least).alias("runs"), plain.alias("plain"))
 
     def candidate(r):
         name = F.lit(None).cast("string")
-        decoy = F.lit(None).cast("string")
-        n = (r["end"] - r["start"]).cast("int")
         for encoding in reversed(ENCODINGS):
-            fits = F.rlike(r["value"], F.lit(ENCODINGS[encoding][0]))
-            pool = F.col("pools")[encoding]
-            room = F.length(pool) - n
-            piece = F.when(room >= 0, F.substr(pool, (F.pmod(F.xxhash64(r["value"]), room + 1) + 1).cast("int"), n))
-            name, decoy = F.when(fits, encoding).otherwise(name), F.when(fits, piece).otherwise(decoy)
-        return F.struct(r["start"], r["end"], r["value"], name.alias("encoding"), decoy.alias("decoy"))
+            name = F.when(F.rlike(r["value"], F.lit(ENCODINGS[encoding][0])), encoding).otherwise(name)
+        return F.struct(r["start"], r["end"], r["value"], name.alias("encoding"))
 
     # Digits alone are numbers, which look random whatever they say.
     words = F.filter("runs", lambda r: ~F.rlike(r["value"], F.lit(r"^[0-9_+/-]+$")))
-    return read.select(F.monotonically_increasing_id().alias("key"), "doc_id", "fixed", F.transform(words, candidate).alias("runs"))
+    letters = F.array(*[(F.length("plain") - F.length(F.replace("plain", F.lit(c), F.lit("")))).cast("long") for c in _LETTERS])
+    return read.select(
+        F.monotonically_increasing_id().alias("key"), "doc_id", "fixed", F.transform(words, candidate).alias("runs"), letters.alias("letters"))
+
+
+def _free_runs(scanned):
+    """Candidates that overlap no fixed span, a row each; spans are met in order, so their number does not matter."""
+    def event(x, run):
+        return F.struct(x["start"], x["end"], (x["value"] if run else F.lit(None).cast("string")).alias("value"),
+                        (x["encoding"] if run else F.lit(None).cast("string")).alias("encoding"))
+
+    events = F.concat(F.transform("runs", lambda x: event(x, True)), F.transform("fixed", lambda x: event(x, False)))
+    rows = scanned.where(F.size("runs") > 0).select("key", F.explode(events).alias("e")).select("key", "e.*")
+    fixed = F.col("encoding").isNull()
+    before = Window.partitionBy("key").orderBy("start", F.desc(fixed))
+    after = Window.partitionBy("key").orderBy(F.desc("start"), fixed)
+    rows = rows.withColumn("reached", F.max(F.when(fixed, F.col("end"))).over(before)).withColumn(
+        "next", F.min(F.when(fixed, F.col("start"))).over(after))
+    clear = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end"))
+    return rows.where(~fixed & clear).drop("reached", "next")
+
+
+def _text_moments(scanned):
+    """Per encoding the sums of squares and cubes of the letter frequencies of text, one added to each count."""
+    counts = scanned.agg(*[F.sum(F.get("letters", i)).alias(c) for i, c in enumerate(_LETTERS)])
+
+    def power_sum(letters, power):
+        held = [F.coalesce(F.col(c), F.lit(0)) + 1.0 for c in letters]
+        return sum(F.pow(x, F.lit(power)) for x in held) / F.pow(sum(held), F.lit(power))
+
+    rows = F.array(*[F.struct(F.lit(name).alias("encoding"), F.lit(float(len(alphabet))).alias("width"),
+                              power_sum(letters, 2).alias("squares"), power_sum(letters, 3).alias("cubes"))
+                     for name, (_, alphabet, letters) in ENCODINGS.items()])
+    return counts.select(F.inline(rows))
 
 
 def _tail(z):
@@ -103,7 +138,7 @@ def _tail(z):
 
 
 def with_randomness(strings: DataFrame, column="value", encoding="encoding") -> DataFrame:
-    """Adds ``p``: the three tests combined; near 0 when the string is not random in its encoding."""
+    """Adds ``p``, the three tests combined, near 0 when the string is not random in its encoding, and the chi-squared ``uniformity``."""
     def by_encoding(value):
         out = F.lit(None)
         for name, (_, alphabet, _) in ENCODINGS.items():
@@ -142,29 +177,44 @@ def with_randomness(strings: DataFrame, column="value", encoding="encoding") ->
     # A test without a value had a string of one kind only, which no random source writes.
     h = sum(-F.log(F.greatest(F.coalesce(2 * _tail(F.abs(F.col(c))), F.lit(0.0)), F.lit(1e-100))) for c in ("_chi", "_runs", "_serial"))
     df = df.withColumn("_f", h).withColumn("p", F.exp(-F.col("_f")) * (1 + F.col("_f") + F.col("_f") * F.col("_f") / 2))
-    return df.drop("_s", "_a", "_k", "_n", "_v", "_x", "_h", "_n1", "_n2", "_m", "_chi", "_runs", "_serial", "_f")
+    return df.withColumnRenamed("_x", "uniformity").drop("_s", "_a", "_k", "_n", "_v", "_h", "_n1", "_n2", "_m", "_chi", "_runs", "_serial", "_f")
+
+
+def with_text_chance(scored, moments):
+    """Adds ``chance``: the probability that letters of text come as near to uniform as the string does."""
+    n = F.length("value").cast("double")
+    k, q2, q3 = F.col("width"), F.col("squares"), F.col("cubes")
+    mean = k * ((n - 1) * q2 + 1) - n
+    spread = F.sqrt(2 * n * (n - 1) * (q2 + 2 * (n - 2) * q3 - (2 * n - 3) * q2 * q2)) * k / n
+    z = (F.col("uniformity") - mean) / spread
+    chance = F.when(z < 0, _tail(-z)).otherwise(1 - _tail(z))
+    # Three rows, one per encoding.
+    return scored.join(F.broadcast(moments), "encoding").withColumn("chance", chance).drop("width", "squares", "cubes")
+
+
+def _step(p):
+    """Steps down from 1; the p-value counts as the upper end of its step."""
+    return F.floor(-F.log2(F.greatest(p, F.lit(1e-290))) * _STEPS).cast("int")
 
 
-def _bounds(scored, rate):
-    """Lowest p, in hundredths, that each encoding and length class reports from."""
-    cells = scored.groupBy("encoding", "size_class", F.floor(F.col("p") * 100).cast("int").alias("cell")).agg(
-        F.sum((~F.col("is_decoy")).cast("long")).alias("candidates"), F.sum(F.col("is_decoy").cast("long")).alias("decoys"))
-    above = Window.partitionBy("encoding", "size_class").orderBy(F.desc("cell"))  # at most 101 rows
-    held = cells.withColumn("c", F.sum("candidates").over(above)).withColumn("d", F.sum("decoys").over(above))
-    return held.where(F.col("d") + 1 <= rate * F.col("c")).groupBy("encoding", "size_class").agg(F.min("cell").alias("bound"))
+def _bounds(judged, rate):
+    """Least step of each encoding at which the discoveries from there on are within the rate."""
+    cells = judged.groupBy("encoding", _step(F.col("chance")).alias("step")).agg(F.count_if("random").alias("found"), F.count(F.lit(1)).alias("all"))
+    by_encoding = Window.partitionBy("encoding")  # a bounded number of steps
+    held = cells.withColumn("m", F.sum("all").over(by_encoding)).withColumn(
+        "from", F.sum("found").over(by_encoding.orderBy(F.desc("step"))))
+    upper = F.pow(F.lit(2.0), -F.col("step") / _STEPS)
+    return held.where(F.col("m") * upper <= rate * F.col("from")).groupBy("encoding").agg(F.min("step").alias("bound"))
 
 
 def find_secrets(docs: DataFrame, least=LEAST, rate=RATE) -> DataFrame:
     """One row per document: doc_id, spans (start, rank of the kind, end, value; by start, then kind)."""
     scanned = staged(_scanned(docs, least), "secret-candidates")
-    run = scanned.select("key", F.explode("runs").alias("r")).select("key", "r.*")
-    both = run.select("key", "start", "end", "value", "encoding", F.lit(False).alias("is_decoy")).unionByName(
-        run.where("decoy is not null").select("key", "start", "end", F.col("decoy").alias("value"), "encoding", F.lit(True).alias("is_decoy")))
-    scored = staged(with_randomness(both).withColumn("size_class", F.floor(F.log2(F.length("value")) * 2).cast("int")), "secret-scores")
-    # A class per encoding and half power of two: a bounded number of rows.
+    judged = with_text_chance(with_randomness(_free_runs(scanned)), _text_moments(scanned))
+    judged = staged(judged.withColumn("random", F.col("p") >= REFUSED), "secret-scores")
     found = (
-        scored.where("not is_decoy").join(F.broadcast(_bounds(scored, rate)), ["encoding", "size_class"])
-        .where(F.floor(F.col("p") * 100) >= F.col("bound"))
+        judged.where("random").join(F.broadcast(_bounds(judged, rate)), "encoding")
+        .where(_step(F.col("chance")) >= F.col("bound"))
         .groupBy("key").agg(F.collect_list(F.struct("start", F.lit(KINDS.index("random")).alias("rank"), "end", "value")).alias("more"))
     )
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,value:string>>")
