@@ -46,7 +46,7 @@ SPREAD_LANGUAGE = "list_extract([" + ", ".join(f"'{x}'" for x in LANGUAGES) + "]
 
 
 def digest(column):
-    return F.sha2(F.encode(F.col(column), "UTF-8"), 256)
+    return F.sha2(F.encode(F.col(column) if isinstance(column, str) else column, "UTF-8"), 256)
 
 
 def r6(column):

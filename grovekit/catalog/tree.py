@@ -11,6 +11,7 @@ from grovekit.fixed import CATEGORIES, SKIP_TEXTS, SKIP_TYPES, VOID_TAGS
 from grovekit.functions import nodes as N
 from grovekit.operators import records as OR, trees as OT
 from grovekit.plans import conversion as C, preparation as P
+from grovekit.session import staged
 
 # Nodes of the documents: document, line, token.
 NODES = f"""pieces as (select doc_id, language, code, string_split(code, {NL}) as p from samples),
@@ -324,9 +325,30 @@ def record_json(spark, d):
     return universal(spark, d).select("doc_id", OR.to_record_json("universal").alias("json"))
 
 
-@query("to_record_json")
+@query("to_record_json", f"""with {RECORDS},
+kids as (select doc_id, cast(parent as bigint) as nid, string_agg(cast({_ID} as varchar), ',' order by nid) as ids
+    from categorized where direct group by doc_id, parent),
+held as (select c.* replace (cast(c.nid as bigint) as nid), coalesce(k.ids, '') as ids from categorized c left join kids k on k.doc_id = c.doc_id and k.nid = c.nid),
+digested as (select doc_id, {sql_digest(['nid', _PARENT, 'ids', 'type', 'text', "coalesce(category, '')"])} from held group by doc_id)
+select s.doc_id, {SPREAD_LANGUAGE} as language, sha256(code) as source_hash, sha256(code) as code_hash, coalesce(rows, 0) as rows,
+    coalesce(digest, '') as digest from samples s left join digested d using (doc_id)""")
 def _(spark, d):
-    return record_json(spark, d)
+    records = staged(record_json(spark, d), "record-json")
+    shape = "struct<node_categories:struct<" + ",".join(
+        f"{group}:struct<{','.join(f'{n}:array<int>' for g, n, _ in CATEGORIES if g == group)}>" for group in dict.fromkeys(g for g, _, _ in CATEGORIES)) + ">>"
+
+    def listed(group, name):
+        return F.transform(F.col(f"p.node_categories.{group}.{name}"), lambda i: F.struct(i.alias("id"), F.lit(f"{group}.{name}").alias("category")))
+
+    categories = records.select("doc_id", F.from_json("json", shape).alias("p")).select(
+        "doc_id", F.inline(F.concat(*[listed(g, n) for g, n, _ in CATEGORIES])))
+    nodes = OR.read_record(records, "doc_id", "json").withColumn("ids", F.concat_ws(",", F.transform("children", lambda x: x.cast("string"))))
+    nodes = nodes.join(categories, ["doc_id", "id"], "left").withColumn("category", F.coalesce("category", F.lit("")))
+    found = whole_digest(nodes, ["id", "parent", "ids", "type", "text", "category"])
+    head = records.select(
+        "doc_id", F.get_json_object("json", "$.language").alias("language"), F.get_json_object("json", "$.metadata.source_hash").alias("source_hash"),
+        digest(F.get_json_object("json", "$.original_source_code")).alias("code_hash"))
+    return head.join(found, "doc_id", "left").fillna({"rows": 0, "digest": ""})
 
 
 @query("read_record", f"""with {RECORDS} select doc_id, {sql_digest([_ID, 'type', 'text', _PARENT, 'row', 'cast(c as bigint)'])}
