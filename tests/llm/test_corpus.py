@@ -428,6 +428,76 @@ def test_vectors_equal_all_pairs(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.collect())
 
 
+def _all_pairs(ids, units, labels):
+    """n_links and component_id by comparing all pairs; ids ascend."""
+    linked = (units @ units.T >= 0.98) & (np.asarray(labels)[:, None] == np.asarray(labels)[None])
+    np.fill_diagonal(linked, True)
+    least = np.arange(len(ids))
+    while True:
+        new = np.array([least[row].min() for row in linked])
+        if (new == least).all():
+            return {i: (int(row.sum()) - 1, ids[m]) for i, row, m in zip(ids, linked, least)}
+        least = new
+
+
+def _dense_group(spark, partitions, size, noise):
+    """Found and true (n_links, component_id) by vec_id of a dense group among scattered vectors, in a fixed layout."""
+    rng = np.random.default_rng(size)
+    data = rng.standard_normal(64) / 8 + noise * rng.standard_normal((size, 64))
+    data = np.concatenate([data, rng.standard_normal((300, 64))])
+    labels = [3] * size + [int(x) for x in rng.integers(0, 5, 300)]
+    units = data / np.linalg.norm(data, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), x) for i, (v, x) in enumerate(zip(data, labels))], "vec_id long, embedding array<double>, label int")
+    layout = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in layout}
+    try:
+        for k, v in layout.items():
+            spark.conf.set(k, v)
+        found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return found, _all_pairs(list(range(len(data))), units, labels)
+
+
+@pytest.mark.parametrize("size, noise, partitions", [(600, 0.02, 1), (600, 0.02, 8), (600, 0.02, 64), (5000, 0.0125, 1), (5000, 0.0125, 8), (5000, 0.0125, 64)])
+def test_vectors_of_dense_groups_in_any_layout(spark, size, noise, partitions):
+    """Groups wider than a window, a block and many cells."""
+    found, true = _dense_group(spark, partitions, size, noise)
+    assert found == true
+
+
+def test_vectors_of_a_group_around_the_threshold(spark):
+    """3,000 vectors whose cosines lie around the threshold: a few with very few links are missed, none is invented."""
+    found, true = _dense_group(spark, 1, 3000, 0.018)
+    assert all(found[i][0] <= true[i][0] for i in true)
+    assert sum(n for n, _ in found.values()) >= 0.999 * sum(n for n, _ in true.values())
+    again, _ = _dense_group(spark, 16, 3000, 0.018)
+    assert again == found
+
+
+def test_vectors_by_cells_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "_CELL", 16)
+    monkeypatch.setattr(vectors, "_FAN", 4)
+    rng = np.random.default_rng(3)
+    # An arc along which neighbours are linked and ends are not, and a tight group whose cells are linked throughout.
+    turn = np.linspace(0, 1.2, 900)
+    arc = np.stack([np.cos(turn), np.sin(turn), *0.002 * rng.standard_normal((6, 900))], axis=1)
+    tight = np.concatenate([-np.ones((500, 1)), 0.01 * rng.standard_normal((500, 7))], axis=1)
+    data = np.concatenate([arc, tight])
+    units = data / np.linalg.norm(data, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(data)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    assert got == _all_pairs(list(range(len(data))), units, [1] * len(data))
+
+
+def test_vectors_without_ids_are_no_components(spark):
+    df = spark.createDataFrame([(None, [1.0, 0.0], 1), (None, [1.0, 0.01], 1), (7, [1.0, 0.02], 1), (None, [0.0, 1.0], 1)],
+                               "vec_id long, embedding array<double>, label int")
+    got = sorted(rows(vectors.near_duplicates(df).select("vec_id", "n_links", "component_id")), key=str)
+    assert got == sorted([(None, 2, 7), (None, 2, 7), (7, 2, 7), (None, 0, None)], key=str)
+
+
 def test_vectors_of_nothing(spark):
     assert vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
