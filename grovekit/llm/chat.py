@@ -1,11 +1,13 @@
 """Chat formatting into a prefix tree: shared opening turns are written once.
 
-Every turn is a node, named by the hashes of the turns up to it, so conversations that begin
+Every turn is a node, named by one rolling hash of the turns up to it, so conversations that begin
 alike share nodes. Nodes are laid out depth first; a node carries the position of its first
 token on its path, and, as attention intervals, the stretches of the layout that hold its
-ancestors. A token is a code point. The layout is a global sort by the path of hashes, in
-which a node comes right before what follows it; no tree is gathered, so one opening turn may
-be shared by any number of conversations.
+ancestors. A token is a code point. Conversations are ranked by their paths; a node belongs to
+the first of those that pass through it, and nodes in the order of rank and depth are the tree depth
+first. What a conversation adds is one stretch, so the stretches of its whole path are found once for
+all its nodes. No tree is gathered: one opening turn may be shared by any number of
+conversations. Rows, sorts and joins grow in proportion to the turns, also for long conversations.
 
 Template: ``### role:`` line break, text, ``</turn>`` line break. Inside roles and texts a
 backslash is doubled and one is set before ``### `` and ``</turn>`` (in roles also before
@@ -52,8 +54,8 @@ def parse(formatted):
     return turns
 
 
-def _paths(rows):
-    """Turns with their formatted text and the hashes of the turns up to and including them."""
+def _turns(rows):
+    """Turns with their formatted text, the names of their node, its parent and its tree, and the length of all before."""
     text, role = F.coalesce(F.col("text").cast("string"), F.lit("")), F.coalesce(F.col("role").cast("string"), F.lit(""))
     head = F.concat(F.lit("### "), _escape(role, (":",)), F.lit(":\n"))
     body = _escape(text)
@@ -62,24 +64,44 @@ def _paths(rows):
     ).withColumn("formatted", F.concat(head, body, F.lit("</turn>\n"))).withColumn(
         # where the loss mask starts and ends within the turn
         "mask", F.when(F.col("role") == LOSS_ROLE, F.struct(F.length(head).alias("start"), (F.length(head) + F.length(body)).alias("end"))))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = turns.withColumn("depth", F.row_number().over(order) - 1).withColumn(
-        "hash", F.unhex(F.md5(F.col("formatted").cast("binary"))))
-    upto = F.collect_list("hash").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return turns.withColumn("path", upto).select("conv_id", "depth", "path", "formatted", "mask")
+    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = turns.withColumn("depth", F.row_number().over(by_turn) - 1).withColumn("length", F.length("formatted").cast("long"))
+    # The rolling hash is the exclusive or of the hashes of (depth, turn), in two halves.
+    digest = F.md5(F.concat_ws(":", "depth", "formatted").cast("binary"))
+    by_depth = Window.partitionBy("conv_id").orderBy("depth")
+    upto = by_depth.rowsBetween(Window.unboundedPreceding, 0)
+
+    def half(start):
+        rolled = F.bit_xor(F.conv(F.substring("digest", start, 16), 16, -10).cast("long")).over(upto)
+        return F.lpad(F.hex(rolled), 16, "0")
+
+    turns = turns.withColumn("digest", digest).withColumn("node", F.unhex(F.concat(half(1), half(17))))
+    return turns.select(
+        "conv_id", "depth", "node", F.lag("node").over(by_depth).alias("parent"), F.first("node").over(upto).alias("tree"),
+        "length", (F.sum("length").over(upto) - F.col("length")).alias("position"), "formatted", "mask")
 
 
 def prefix_tree(rows: DataFrame):
-    """Nodes of the tree and which node ends each conversation, as two tables.
+    """Nodes of the tree and the path of each conversation, as two tables.
 
-    nodes: path, tree (hash of the opening turn), depth, formatted, mask, start (place in the
+    nodes: node, parent, tree (node of the opening turn), depth, formatted, mask, start (place in the
     layout), length, position (of its first token on the path), attends (places of its
-    ancestors, merged). leaves: conv_id, path.
+    ancestors, merged). paths: conv_id, nodes (from the opening turn on).
     """
-    turns = staged(_paths(rows), "chat-turns")
-    once = turns.groupBy("path", "depth").agg(F.first("formatted").alias("formatted"), F.first("mask").alias("mask"))
-    ordered = once.withColumn("length", F.length("formatted").cast("long")).repartitionByRange("path").sortWithinPartitions("path")
-    ddl = "part int, at long, path array<binary>, depth int, length long, formatted string, mask struct<start:int,end:int>"
+    turns = staged(_turns(rows), "chat-turns")
+    paths = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("depth", "node")))["node"].alias("nodes"))
+    # The id breaks ties of equal conversations, which so need not stay together.
+    paths = staged(
+        paths.repartitionByRange("nodes", "conv_id").sortWithinPartitions("nodes", "conv_id").withColumn("rank", F.monotonically_increasing_id()),
+        "chat-paths")
+    ranks = paths.select(F.col("conv_id").alias("ranked"), "rank")
+    kept = ("parent", "tree", "depth", "length", "position", "formatted", "mask")
+    once = turns.join(ranks, F.col("conv_id").eqNullSafe(F.col("ranked"))).groupBy("node").agg(
+        F.min("rank").alias("rank"), *(F.first(c).alias(c) for c in kept))
+    ordered = once.repartitionByRange("rank", "depth").sortWithinPartitions("rank", "depth")
+    carried = ("rank", "node", *kept)
+    ddl = ("part int, at long, rank long, node binary, parent binary, tree binary, depth int, length long, position long, "
+           "formatted string, mask struct<start:int,end:int>")
     schema = arrow_schema(ddl)
 
     def place(batches):
@@ -91,39 +113,35 @@ def prefix_tree(rows: DataFrame):
             for n in batch.column("length").to_pylist():
                 starts.append(at)
                 at += n
-            yield to_batch(schema, [[part] * len(starts), starts, *(batch.column(c).to_pylist() for c in (
-                "path", "depth", "length", "formatted", "mask"))])
+            yield to_batch(schema, [[part] * len(starts), starts, *(batch.column(c).to_pylist() for c in carried)])
 
-    laid = staged(ordered.select("path", "depth", "length", "formatted", "mask").mapInArrow(place, ddl), "chat-layout")
+    laid = staged(ordered.select(*carried).mapInArrow(place, ddl), "chat-layout")
     # One row per partition: a small running sum and a small broadcast.
     totals = laid.groupBy("part").agg(F.sum("length").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     placed = laid.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("at"))
-    # An ancestor is the node of a shorter path; each node asks for as many as it is deep.
-    asked = placed.where("depth > 0").select("path", F.explode(F.sequence(F.lit(1), "depth")).alias("n")).select(
-        "path", F.slice("path", 1, F.col("n")).alias("ancestor"))
-    spans = asked.join(placed.select(F.col("path").alias("ancestor"), "start", "length"), "ancestor").groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end")))).alias("spans"),
-        F.sum("length").alias("position"))
-    merged = F.aggregate(
-        "spans", F.array().cast("array<struct<start:bigint,end:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] == x["start"]),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), x["end"].alias("end")))),
-        ).otherwise(F.concat(done, F.array(x))))
-    nodes = placed.join(spans.select("path", "position", merged.alias("attends")), "path", "left").select(
-        "path", F.col("path")[0].alias("tree"), "depth", "formatted", "mask", "start", "length",
-        F.coalesce("position", F.lit(0)).alias("position"),
-        F.coalesce("attends", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attends"))
-    leaves = turns.groupBy("conv_id").agg(F.max(F.struct("depth", "path")).alias("last")).select("conv_id", "last.path")
-    return nodes, leaves
-
-
-def read_back(nodes: DataFrame, leaves: DataFrame) -> DataFrame:
+    # Stretches of the layout along the paths of those conversations that have nodes of their own.
+    along = paths.join(placed.select("rank").distinct(), "rank", "left_semi").select("rank", F.posexplode("nodes").alias("depth", "node")).join(
+        placed.select("node", "start", (F.col("start") + F.col("length")).alias("end")), "node")
+    by_depth = Window.partitionBy("rank").orderBy("depth")
+    opens = F.coalesce(F.col("start") != F.lag("end").over(by_depth), F.lit(True)).cast("long")
+    stretches = along.withColumn("opens", opens).withColumn("stretch", F.sum("opens").over(by_depth.rowsBetween(Window.unboundedPreceding, 0)))
+    stretches = stretches.groupBy("rank", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end")).groupBy("rank").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("stretches"))
+    # A conversation's own nodes lie in its last stretch.
+    last = F.element_at("stretches", -1)["start"]
+    own = F.when(F.col("start") > last, F.array(F.struct(last.alias("start"), F.col("start").alias("end")))).otherwise(
+        F.array().cast("array<struct<start:bigint,end:bigint>>"))
+    nodes = placed.join(stretches, "rank").select(
+        "node", "parent", "tree", "depth", "formatted", "mask", "start", "length", "position",
+        F.concat(F.slice("stretches", F.lit(1), F.size("stretches") - 1), own).alias("attends"))
+    return nodes, paths.select("conv_id", "nodes")
+
+
+def read_back(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     """Conversations read from the tree: conv_id, formatted, turns (role, text), loss_text."""
-    asked = leaves.select("conv_id", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("n"), "path").select(
-        "conv_id", "n", F.slice("path", 1, F.col("n")).alias("path"))
-    whole = asked.join(nodes.select("path", "formatted", "mask"), "path").groupBy("conv_id").agg(
+    asked = paths.select("conv_id", F.posexplode("nodes").alias("n", "node"))
+    whole = asked.join(nodes.select("node", "formatted", "mask"), "node").groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("n", "formatted", "mask"))).alias("parts"))
     ddl = "conv_id long, formatted string, turns array<struct<role:string,text:string>>, loss_text string"
     schema = arrow_schema(ddl)

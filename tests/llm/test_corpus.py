@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -366,8 +367,8 @@ def test_chat_round_trip_and_layout(spark):
             turns.append((c, t, ["user", "assistant", "system", "a:b\\"][t % 2 if c < 8 else t], nasty[(t * (1 if c % 3 else c + 1)) % len(nasty)], "x"))
     turns += [(None, 0, "user", "no id", "x"), (50, None, None, None, "x"), (51, 1, "user", "tie", "x"), (51, 1, "user", "tie", "x")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, path string")
-    nodes, leaves = chat.prefix_tree(df)
-    got = {r.conv_id: r for r in chat.read_back(nodes, leaves).collect()}
+    nodes, paths = chat.prefix_tree(df)
+    got = {r.conv_id: r for r in chat.read_back(nodes, paths).collect()}
     by = defaultdict(list)
     for c, t, role, x, _ in turns:
         by[c].append((-1 if t is None else t, role or "", x or ""))
@@ -382,13 +383,61 @@ def test_chat_round_trip_and_layout(spark):
     open_ = []
     for r in laid:  # depth first: every ancestor is open, and attended tokens are exactly its path
         del open_[r.depth:]
-        assert [bytes(x) for x in r.path[:-1]] == [bytes(x.path[-1]) for x in open_]
+        assert len(open_) == r.depth and r.parent == (open_[-1].node if open_ else None) and r.tree == (open_ or [r])[0].node
         assert "".join(stream[a.start:a.end] for a in r.attends) == "".join(x.formatted for x in open_)
         assert r.position == sum(x.length for x in open_)
         open_.append(r)
     assert len(laid) < len(turns)
 
 
+def test_chat_of_random_trees(spark):
+    """Paths that leave and return between others' nodes: layout, positions and intervals equal those of a plain tree."""
+    rng = random.Random(4)
+    convs = {c: [("user" if t % 2 == 0 else "assistant", rng.choice("abc" if t < 6 else "abcdefgh")) for t in range(rng.randint(1, 12))] for c in range(300)}
+    df = spark.createDataFrame([(c, t, r, x) for c, own in convs.items() for t, (r, x) in enumerate(own)], "conv_id long, turn long, role string, text string")
+    nodes, paths = chat.prefix_tree(df)
+    laid = sorted(nodes.collect(), key=lambda r: r.start)
+    prefixes = {tuple(own[:n]) for own in convs.values() for n in range(1, len(own) + 1)}
+    assert len(laid) == len(prefixes)
+    by_node = {bytes(r.node): r for r in laid}
+    at, open_ = 0, []
+    for r in laid:
+        del open_[r.depth:]
+        assert r.start == at and r.parent == (open_[-1].node if open_ else None)
+        spans = []
+        for x in open_:
+            if spans and spans[-1][1] == x.start:
+                spans[-1][1] = x.start + x.length
+            else:
+                spans.append([x.start, x.start + x.length])
+        assert [[a.start, a.end] for a in r.attends] == spans
+        at += r.length
+        open_.append(r)
+    for p in paths.collect():
+        text = "".join(by_node[bytes(x)].formatted for x in p.nodes)
+        assert chat.parse(text) == convs[p.conv_id]
+
+
+def test_chat_of_long_conversations(spark):
+    """Bytes of the stage tables grow in proportion to the turns."""
+    import glob
+
+    sizes = {}
+    for n in (400, 4000):
+        known = set(glob.glob(stage_path(spark, "x").rsplit("/", 1)[0] + "/chat-*"))
+        df = spark.range(n).select(
+            F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+            F.concat(F.lit("turn "), F.col("id").cast("string")).alias("text"))
+        nodes, paths = chat.prefix_tree(df)
+        [r] = chat.read_back(nodes, paths).collect()
+        assert [t for _, t in r.turns] == [f"turn {i}" for i in range(n)]
+        deep = nodes.orderBy("depth").collect()[-1]
+        assert [(a.start, a.end) for a in deep.attends] == [(0, deep.start)] and deep.position == deep.start
+        new = set(glob.glob(stage_path(spark, "x").rsplit("/", 1)[0] + "/chat-*")) - known
+        sizes[n] = sum(os.path.getsize(f) for d in new for f in glob.glob(d + "/*.parquet"))
+    assert sizes[4000] < 12 * sizes[400]
+
+
 def test_chat_of_nothing(spark):
     nodes, leaves = chat.prefix_tree(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert nodes.count() == 0 and chat.read_back(nodes, leaves).count() == 0
