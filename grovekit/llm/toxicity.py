@@ -2,8 +2,9 @@
 
 Learning. Of at most ``rows`` labelled documents, chosen by hash, those that hold a word, and
 those that hold a word with a given stem, are counted by label. Words and stems that speak
-for the label are candidates; on at most ``sample`` toxic ones the smallest set that explains
-them is picked greedily, so that words which merely stand beside a toxic term drop out.
+for the label are candidates, all of them; on at most ``sample`` toxic ones the smallest set that explains
+them is picked greedily, so that words which merely stand beside a toxic term drop out. Only the bounds of
+labelled rows limit the lexicon. Texts stay in the tasks: the driver gets which candidates a toxic row holds, as numbers.
 
 Matching. The trie of the lexicon is intersected with the Levenshtein automaton of distance
 one; the result is made deterministic as words are read, so a word costs a few table lookups
@@ -13,7 +14,7 @@ Context. A hit is quoted if quotation marks open before it and close after it wi
 ``CONTEXT`` words. Hits on entries that are
 almost always toxic, other hits and varied spellings, each plain or quoted, are four signs;
 how often each combination is toxic is learned from the same rows and smoothed towards the
-sum of the single signs. A text without signs is never predicted toxic.
+sum of the single signs.
 
 Scores depend on the text alone. Defined results: null and empty texts have no signs and get
 the learned rate of texts without signs; labels without a document, null labels and null ids teach
@@ -21,6 +22,7 @@ nothing; of several labels of an id the highest counts; without any labelled row
 are 0; an empty table gives no rows. A column named like ``name`` is replaced.
 """
 
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -34,10 +36,8 @@ from pyspark.sql import functions as F
 from grovekit.llm.arrow import arrow_schema, slices, to_batch
 from grovekit.session import staged
 
-TERMS = 2_000
 ROWS = 100_000
 SAMPLE = 5_000
-CANDIDATES = 5_000
 CONTEXT = 8
 FOLDS = 5
 _STEMS = range(4, 8)
@@ -154,7 +154,7 @@ def signs(text, match):
 
 
 class Model:
-    """Lexicon and rates; plain values, so it travels to the tasks whole. Its size is bounded by ``TERMS``."""
+    """Lexicon and rates; plain values, so it travels to the tasks whole. Its size is bounded by that of the labelled rows."""
 
     def __init__(self, entries=(), rates=None):
         self.entries = tuple(sorted(entries))  # (text, stem, sure)
@@ -165,7 +165,7 @@ class Model:
         rate = self.rates[bits]
         # More hits move the score a little towards what their signs say.
         return rate if not 0 < rate < 1 or not hits else 1 / (1 + math.exp(-(
-            math.log(rate / (1 - rate)) + math.copysign(0.02 * min(hits, 50), rate - 0.5))))
+            math.log(rate / (1 - rate)) + math.copysign(0.2 * math.log1p(hits), rate - 0.5))))
 
 
 def _labelled(docs, labels, rows):
@@ -209,31 +209,47 @@ def _counts(rows):
     return rows.mapInArrow(count, ddl).groupBy("entry", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _choose(candidates, texts):
-    """Greedy cover of the texts by entries, each weighed by how rarely it is found in clean documents."""
+def _holds(texts, candidates):
+    """For each text the numbers of the candidates it holds."""
+    ddl = "held array<int>"
+    schema = arrow_schema(ddl)
     words = {c[0]: i for i, c in enumerate(candidates) if not c[1]}
     stems = {c[0]: i for i, c in enumerate(candidates) if c[1]}
+
+    def find(batches):
+        for batch in slices(batches):
+            out = []
+            for text in batch.column("text").to_pylist():
+                own = set(_LETTERS.findall((text or "").lower()))
+                out.append([words[w] for w in own if w in words] + list(
+                    {stems[w[:n]] for w in own for n in _STEMS if len(w) > n and w[:n] in stems}))
+            yield to_batch(schema, [out])
+
+    return texts.mapInArrow(find, ddl)
+
+
+def _choose(candidates, held):
+    """Greedy cover of the rows (numbers of candidates each) by entries, weighed by how rarely they are found in clean documents."""
     holds = defaultdict(set)
-    for d, text in enumerate(texts):
-        for w in set(_LETTERS.findall((text or "").lower())):
-            if w in words:
-                holds[words[w]].add(d)
-            for n in _STEMS:
-                if len(w) > n and w[:n] in stems:
-                    holds[stems[w[:n]]].add(d)
-    open_, chosen = set(range(len(texts))), []
-    gain = {i: len(s) * candidates[i][2] for i, s in holds.items()}
-    while gain and len(chosen) < TERMS:
-        best = max(gain, key=lambda i: (gain[i], -len(candidates[i][0]), candidates[i][0]))
-        fresh = len(holds[best] & open_) * candidates[best][2]
-        if fresh < gain[best]:  # what others have explained meanwhile no longer counts
-            gain[best] = fresh
-            if fresh < _LEAST_DOCUMENTS / 2:
-                del gain[best]
+    for d, numbers in enumerate(held):
+        for i in numbers:
+            holds[i].add(d)
+    open_, chosen = set(range(len(held))), []
+
+    def place(i, gain):  # greatest gain first, then the shortest entry, then the last in the alphabet
+        return -gain, len(candidates[i][0]), [-ord(c) for c in candidates[i][0]], not candidates[i][1], i
+
+    heap = [place(i, len(s) * candidates[i][2]) for i, s in holds.items()]
+    heapq.heapify(heap)
+    while heap:
+        gain, *_, i = heapq.heappop(heap)
+        fresh = len(holds[i] & open_) * candidates[i][2]
+        if fresh < -gain:  # what others have explained meanwhile no longer counts
+            if fresh >= _LEAST_DOCUMENTS / 2:
+                heapq.heappush(heap, place(i, fresh))
             continue
-        chosen.append((*candidates[best][:2], candidates[best][2] >= _SURE))
-        open_ -= holds[best]
-        del gain[best]
+        chosen.append((*candidates[i][:2], candidates[i][2] >= _SURE))
+        open_ -= holds[i]
     return chosen
 
 
@@ -248,16 +264,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows=ROWS, sample=SAMPLE) -> Model:
     purity = F.col("toxic") / (F.col("toxic") + F.col("clean"))
     top = (
         _counts(rows).where((F.col("toxic") >= _LEAST_DOCUMENTS) & (odds >= _LEAST_LOG_ODDS))
-        .select("entry", "stem", purity.alias("purity"), (odds * F.sqrt("toxic")).alias("strength"))
-        .orderBy(F.desc("strength"), "entry", "stem").limit(CANDIDATES).collect()
+        .select("entry", "stem", purity.alias("purity")).orderBy("entry", "stem").collect()
     )
     sieve = max(1, toxic // sample)
     # Equal texts would make the words of one text look like terms.
     texts = (
         rows.where((F.col("toxic") == 1) & (F.pmod(F.xxhash64("text"), F.lit(sieve)) == 0)).select("text").distinct()
-        .orderBy(F.xxhash64("text")).limit(sample).collect()
+        .orderBy(F.xxhash64("text")).limit(sample)
     )
-    entries = _choose([(r["entry"], r["stem"], r["purity"]) for r in top], [r["text"] for r in texts])
+    candidates = [(r["entry"], r["stem"], r["purity"]) for r in top]
+    entries = _choose(candidates, [r["held"] for r in _holds(texts, candidates).collect()])
     return Model(entries, _rates(rows, Model(entries)))
 
 
@@ -288,8 +304,6 @@ def _rates(rows, model):
             logit += math.log((seen[1] + 0.5) / (total[1] + 1)) - math.log((seen[0] + 0.5) / (total[0] + 1))
         expected = 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
         rates.append(float((n[bits][1] + 2 * expected) / (n[bits].sum() + 2)))
-    # Without a sign nothing speaks against a text, whatever few labels say.
-    rates[0] = min(rates[0], 0.49)
     return rates
 
 
