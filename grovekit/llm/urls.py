@@ -2,9 +2,9 @@
 
 Host names run words together. They are cut by a unigram Viterbi search: of all ways to
 write a name as words, the one with the highest product of word probabilities wins, unknown
-stretches being charged by length. Word frequencies come from the visible words of all
-pages; all substrings of the distinct names are looked up by a join, so the vocabulary may
-have any size and is never gathered. A multinomial naive Bayes model over the words of host
+stretches being charged by length; of equal ways the one with the longest last word is taken. Word
+frequencies come from the visible words of all pages; the substrings of the distinct names are looked up
+by a join, long words by their beginning, so vocabulary, words and names may have any size and none is gathered. A multinomial naive Bayes model over the words of host
 and path is learned from all urls that a rule decides, and judges the others.
 
 Names, paths and tokens are counted once each with their frequency, and scores are joined
@@ -26,8 +26,7 @@ from grovekit.session import staged
 ALLOW, BLOCK = "allow", "block"
 #: (rule, verdict): host, and the start of the path.
 RULES = (("org/", ALLOW), ("example.org/es/", BLOCK), ("example.org/en/1", BLOCK), ("com/fr/", ALLOW), ("com/de/", BLOCK))
-LONGEST_WORD = 20
-_LONGEST_LABEL = 63
+_KEY = 20  # letters by which a word is looked up
 _SMOOTHING = 1.0
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -60,21 +59,26 @@ def word_counts(texts: DataFrame, column) -> DataFrame:
     """Frequencies of the words in the visible text of pages: word, n."""
     visible = F.regexp_replace(F.regexp_replace(F.col(column).cast("string"), r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", " ")
     words = F.explode(F.regexp_extract_all(F.lower(visible), F.lit(r"\p{L}+"), F.lit(0)))
-    return texts.select(words.alias("word")).where(F.length("word") <= LONGEST_WORD).groupBy("word").agg(F.count("*").alias("n"))
+    return texts.select(words.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def segment(name, counts, total):
     """Words of ``name`` of the highest unigram probability; ``counts`` has those of its substrings that are known."""
-    log_total = math.log(total + 1)
-    best, cut = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
+    log_total, letter = math.log(total + 1), math.log(10)
+    lengths = sorted({len(w) for w in counts}, reverse=True)
+    best, cut = [0.0], [0]
+    opening = 0  # the start from which an unknown stretch is cheapest
     for end in range(1, len(name) + 1):
-        for start in range(max(0, end - LONGEST_WORD), end):
-            word = name[start:end]
-            n = counts.get(word)
-            # An unknown stretch is as rare as a word never seen, and ten times rarer per letter.
-            cost = math.log(n) - log_total if n else -log_total - len(word) * math.log(10)
-            if best[start] + cost > best[end]:
-                best[end], cut[end] = best[start] + cost, start
+        if best[end - 1] + (end - 1) * letter > best[opening] + opening * letter:
+            opening = end - 1
+        # An unknown stretch is as rare as a word never seen, and ten times rarer per letter.
+        way = (best[opening] - log_total - (end - opening) * letter, opening)
+        for k in lengths:
+            n = counts.get(name[end - k:end]) if k <= end else None
+            if n and best[end - k] + math.log(n) - log_total > way[0]:
+                way = (best[end - k] + math.log(n) - log_total, end - k)
+        best.append(way[0])
+        cut.append(way[1])
     words, end = [], len(name)
     while end:
         words.append(name[cut[end]:end])
@@ -86,13 +90,15 @@ def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
     """``names`` (name) with their words, by a join of their substrings with ``counts`` (word, n)."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     n = F.length("name")
-    starts = F.sequence(F.lit(1), n)
-    pieces = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), n - i + 1)), lambda k: F.substr("name", i, k))))
-    # A label longer than host names may have is a word of its own.
-    short = names.where(n.between(1, _LONGEST_LABEL))
-    known = short.select("name", F.explode(F.array_distinct(pieces)).alias("word")).join(counts, "word").groupBy("name").agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("known"))
+    names = names.where(n > 0)
+    starts = names.select("name", F.explode(F.sequence(F.lit(1), n)).alias("i"))
+    pieces = starts.select("name", "i", F.explode(F.transform(
+        F.sequence(F.lit(1), F.least(F.lit(_KEY), n - F.col("i") + 1)), lambda k: F.substr("name", F.col("i"), k))).alias("key"))
+    keyed = counts.withColumn("key", F.substring("word", 1, _KEY))
+    # A longer word begins with its key; the rest of it must follow in the name.
+    fits = (F.length("word") <= _KEY) | (F.substr("name", F.col("i"), F.length("word")) == F.col("word"))
+    known = pieces.join(keyed, "key").where(fits).groupBy("name").agg(
+        F.map_from_entries(F.collect_set(F.struct("word", "n"))).alias("known"))
     ddl = "name string, words array<string>"
     schema = arrow_schema(ddl)
 
@@ -101,8 +107,7 @@ def segment_names(names: DataFrame, counts: DataFrame) -> DataFrame:
             found, known = batch.column("name").to_pylist(), batch.column("known").to_pylist()
             yield to_batch(schema, [found, [segment(x, dict(k or ()), total) for x, k in zip(found, known)]])
 
-    return short.join(known, "name", "left").mapInArrow(cut, ddl).unionByName(
-        names.where(n > _LONGEST_LABEL).select("name", F.array("name").alias("words")))
+    return names.join(known, "name", "left").mapInArrow(cut, ddl)
 
 
 def _tokens(urls, counts):
@@ -120,7 +125,8 @@ def _tokens(urls, counts):
 def judge(pages: DataFrame, rules=RULES, url_column="url", text_column="html") -> DataFrame:
     """page_id, host, path, rule, verdict, and score (log odds of block) of every url."""
     urls = staged(with_rule(split_urls(pages, url_column), rules).select("page_id", "host", "path", "rule", "ruled"), "urls")
-    tokens = staged(_tokens(urls, word_counts(pages, text_column)), "url-tokens")
+    counts = staged(word_counts(pages, text_column), "url-words")
+    tokens = staged(_tokens(urls, counts), "url-tokens")
     decided = urls.where("ruled is not null")
     prior = {r["ruled"]: r["n"] for r in decided.groupBy("ruled").agg(F.count("*").alias("n")).collect()}
     bias = math.log((prior.get(BLOCK, 0) + _SMOOTHING) / (prior.get(ALLOW, 0) + _SMOOTHING))

@@ -342,6 +342,76 @@ def test_toxicity_learns_terms_and_keeps_out_held_out_labels(spark):
     assert all(held[i] == (zlib.crc32(str(i).encode()) % 5 == 0) for i in range(400))
 
 
+def test_greedy_cover_equals_a_plain_one():
+    rng = random.Random(15)
+    for _ in range(60):
+        candidates = [("".join(rng.choices("abc", k=rng.randint(3, 5))) + str(i), rng.random() < 0.3, rng.choice([0.5, 0.8, 0.9, 1.0])) for i in range(30)]
+        held = [[i for i in range(30) if rng.random() < 0.15] for _ in range(60)]
+        open_, expected = set(range(60)), []
+        while True:
+            gains = {i: sum(d in open_ for d, own in enumerate(held) if i in own) * c[2] for i, c in enumerate(candidates)
+                     if (c[0], c[1], c[2] >= 0.85) not in expected}
+            # An entry keeps its first gain until it is looked at; only then a small one drops out.
+            best = max(gains, key=lambda i: (gains[i], -len(candidates[i][0]), candidates[i][0]))
+            if gains[best] < 2.5:
+                break
+            expected.append((candidates[best][0], candidates[best][1], candidates[best][2] >= 0.85))
+            open_ -= {d for d, own in enumerate(held) if best in own}
+        got = toxicity._choose(candidates, held)
+        assert got[:len(expected)] == expected
+        assert all(len({d for d, own in enumerate(held) if [c[0] for c in candidates].index(e) in own}) > 0 for e, _, _ in got)
+
+
+def test_scores_equal_a_plain_model(spark):
+    """Rates and scores from signs found word by word, with entries as learned."""
+    rng = random.Random(16)
+    terms, data = ["wretchq", "vilexq", "scumxy"], []
+    for i in range(300):
+        w = words(i, 20)
+        if i % 4 == 0:
+            term = rng.choice(terms)
+            w[rng.randrange(2, 18)] = rng.choice([term, term[:3] + "z" + term[3:], f'"{term}"'])
+        data.append((i, " ".join(w), int(i % 4 == 0 and rng.random() < 0.9)))
+    df = documents(spark, [(i, t, "a") for i, t, _ in data])
+    model = toxicity.fit(df, spark.createDataFrame([(i, 0, y) for i, _, y in data], "doc_id long, quality int, toxic int"))
+    assert model.entries
+
+    def close(w, term):  # one letter left out, added or changed
+        ways = {w[:i] + w[i + 1:] for i in range(len(w))} | {w}
+        return term in ways or any(term[:i] + term[i + 1:] in ways for i in range(len(term)) if len(w) <= len(term)) or (
+            len(w) == len(term) and sum(a != b for a, b in zip(w, term)) == 1)
+
+    def kind(w):
+        whole = [1 + sure for e, stem, sure in model.entries if (w.startswith(e) if stem else w == e)]
+        varied = any(not stem and sure and len(e) >= 5 and abs(len(w) - len(e)) < 2 and close(w, e) for e, stem, sure in model.entries)
+        return max(whole + [int(varied)])
+
+    def bits_of(text):
+        bits = hits = 0
+        for part in text.lower().split(" "):
+            k = kind(part.strip('"'))
+            if k:
+                bits |= (1 if k == 2 else 2) << (2 * part.startswith('"'))
+                hits += 1
+        return bits, hits
+
+    cells = np.zeros((16, 2))
+    for i, t, y in data:
+        if zlib.crc32(str(i).encode()) % 5:
+            cells[bits_of(t)[0], y] += 1
+    clean, toxic = cells.sum(axis=0)
+    got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
+    for i, t, _ in data:
+        bits, hits = bits_of(t)
+        logit = math.log((toxic + 0.5) / (clean + 0.5))
+        for k in range(4):
+            c, y = sum(cells[b] for b in range(16) if (b >> k & 1) == (bits >> k & 1))
+            logit += math.log((y + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+        rate = (cells[bits, 1] + 2 / (1 + math.exp(-logit))) / (cells[bits].sum() + 2)
+        move = 0.2 * math.log(1 + hits) * (1 if rate >= 0.5 else -1)
+        assert math.isclose(got[i], 1 / (1 + math.exp(-math.log(rate / (1 - rate)) - move)), rel_tol=1e-9)
+
+
 def test_context_tells_quotation():
     match = toxicity.Matcher([("wretch", False, True)])
     assert toxicity.signs("you wretch there", match) == (1, 1)
@@ -687,13 +757,78 @@ def test_verdict_follows_learned_words(spark):
     assert urls.judge(df.where("false")).count() == 0
 
 
+def _split_cost(split, counts, total):
+    return sum(math.log(counts[w] / (total + 1)) if w in counts else -math.log(total + 1) - len(w) * math.log(10) for w in split)
+
+
+def test_segmentation_equals_all_splits():
+    rng = random.Random(8)
+    for _ in range(300):
+        counts = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 5))): rng.randint(1, 40) for _ in range(rng.randint(0, 8))}
+        name = "".join(rng.choice("abc") for _ in range(rng.randint(1, 10)))
+        total = sum(counts.values())
+        splits = []
+        for cuts in range(2 ** (len(name) - 1)):
+            at = [0] + [i + 1 for i in range(len(name) - 1) if cuts >> i & 1] + [len(name)]
+            splits.append([name[a:b] for a, b in zip(at, at[1:])])
+        got = urls.segment(name, counts, total)
+        assert "".join(got) == name
+        assert math.isclose(_split_cost(got, counts, total), max(_split_cost(x, counts, total) for x in splits), abs_tol=1e-9)
+
+
+def test_names_and_words_of_any_length(spark):
+    long_word = "pneumono" * 6  # 48 letters
+    counts = spark.createDataFrame([("garden", 5), ("music", 4), (long_word, 3), (long_word[:20] + "x", 9)], "word string, n long")
+    names = ["garden" * 30 + "music", long_word + "garden", long_word[:25], "music" + long_word[:20] + "x" + "garden", "q" * 5000]
+    got = {r.name: r.words for r in urls.segment_names(spark.createDataFrame([(x,) for x in names + [""]], "name string"), counts).collect()}
+    assert got == {names[0]: ["garden"] * 30 + ["music"], names[1]: [long_word, "garden"], names[2]: [names[2]],
+                   names[3]: ["music", long_word[:20] + "x", "garden"], names[4]: [names[4]]}
+
+
+def test_verdicts_equal_plain_naive_bayes(spark):
+    rng = random.Random(21)
+    vocabulary = ["garden", "music", "river", "casino", "poker", "bets", "art", "cart"]
+    pages = []
+    for i in range(250):
+        host = "".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 3))) + rng.choice([".com", ".net", "-x.org", ".example.org"])
+        path = rng.choice(["/fr/", "/de/", "/es/", "/en/1", "/it/", ""]) + "/".join(rng.choice(["a1", "Buy", "read", "x-y"]) for _ in range(2))
+        pages.append((i, f"http://{host}{path if path.startswith('/') else '/' + path}", f"<b>{' '.join(rng.choices(vocabulary, k=6))}</b>"))
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    counts = Counter(w for _, _, h in pages for w in re.findall(r"[a-z]+", h[3:-4]))
+    total = sum(counts.values())
+
+    def tokens_of(r):
+        labels = [x for x in re.split("[^a-z]+", r.host) if x]
+        return [("h", w) for x in labels for w in urls.segment(x, counts, total)] + [
+            ("p", w) for w in re.split("[^a-z0-9]+", r.path.lower()) if w]
+
+    seen = {"allow": Counter(), "block": Counter()}
+    decided = Counter()
+    for r in got.values():
+        if r.rule:
+            decided[r.verdict] += 1
+            seen[r.verdict].update(tokens_of(r))
+    known = set(seen["allow"]) | set(seen["block"])
+    size = {k: sum(t[0] == k for t in known) for k in "hp"}
+    totals = {(v, k): sum(n for t, n in seen[v].items() if t[0] == k) for v in seen for k in "hp"}
+    for r in got.values():
+        score = math.log((decided["block"] + 1) / (decided["allow"] + 1))
+        for t in tokens_of(r):
+            if t in known:
+                score += math.log((seen["block"][t] + 1) / (totals["block", t[0]] + size[t[0]]))
+                score -= math.log((seen["allow"][t] + 1) / (totals["allow", t[0]] + size[t[0]]))
+        assert math.isclose(r.score, score, abs_tol=1e-6), r
+        if not r.rule:
+            assert r.verdict == ("block" if score > 0 else "allow")
+
+
 # queries and pipeline
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES if n.startswith("op")) == list(range(1, 11)) and "pipeline" in CORPUS_QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES if n.startswith("op")) == list(range(1, 14)) and "pipeline" in CORPUS_QUERIES
 
 
 def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
