@@ -14,7 +14,7 @@ Context. A hit is quoted if quotation marks open before it and close after it wi
 ``CONTEXT`` words. Hits on entries that are
 almost always toxic, other hits and varied spellings, each plain or quoted, are four signs;
 how often each combination is toxic is learned from the same rows and smoothed towards the
-sum of the single signs.
+sum of the single signs. A text without signs is never predicted toxic, whatever few labels say: its rate stays below one half.
 
 Scores depend on the text alone. Defined results: null and empty texts have no signs and get
 the learned rate of texts without signs; labels without a document, null labels and null ids teach
@@ -304,6 +304,8 @@ def _rates(rows, model):
             logit += math.log((seen[1] + 0.5) / (total[1] + 1)) - math.log((seen[0] + 0.5) / (total[0] + 1))
         expected = 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
         rates.append(float((n[bits][1] + 2 * expected) / (n[bits].sum() + 2)))
+    # Else two labels, one of them toxic, would have the pipeline reject every document.
+    rates[0] = min(rates[0], 0.49)
     return rates
 
 
