@@ -400,6 +400,44 @@ def _(spark, d):
         has("language not declared").alias("undeclared"), has("node ids not dense").alias("shifted"))
 
 
+# One fault per kind of rule, all places of it, in records of every document: what is replaced, by what.
+_FAULTS = (
+    ('"success":true,', ''), ('"errors":0', '"errors":"0"'), ('"root":"program",', ''), ('"success":true', '"success":1'),
+    ('"lines":', '"lines":0.5,"x":'), ('"ast":{', '"ast":0,"x":{'), ('"metadata":{', '"x":{'),
+    ('"source_hash":"', '"source_hash":null,"x":"'), ('"parent":0,', '"parent":"0",'), ('"type":"block",', ''),
+    ('"children":[]', '"children":["x"]'), ('"start_point":{"row":0,', '"start_point":{"row":null,'), ('"language":', '"language":'),
+)
+_BROKEN_AT = (
+    ("$.success", "required"), ("$.metadata.errors", "type"), ("$.ast.root", "required"), ("$.success", "type"),
+    ("$.metadata.lines", "type"), ("$.ast", "type"), ("$.metadata", "required"), ("$.metadata.source_hash", "type"),
+)
+
+
+def faulty_json(df):
+    json, kind = F.col("json"), F.col("doc_id") % (len(_FAULTS) + 1)
+    result = F.substring(json, 1, 20)
+    for i, (old, new) in enumerate(_FAULTS):
+        result = F.when(kind == i, F.replace(json, F.lit(old), F.lit(new))).otherwise(result)
+    return df.withColumn("json", result)
+
+
+@query("schema_violations", f"""with {RECORDS},
+parents as (select distinct doc_id, parent from categorized where direct),
+nodes_hit as (select c.doc_id, cast(c.nid as bigint) as nid, case c.doc_id % {len(_FAULTS) + 1}
+    when 8 then case when c.parent = 0 then '.parent' end when 9 then case when c.type = 'block' then '.type' end
+    when 10 then case when p.doc_id is null then '.children[0]' end when 11 then case when c.row = 0 then '.start_point.row' end end as field
+    from categorized c left join parents p on p.doc_id = c.doc_id and p.parent = c.nid),
+read as (select doc_id, doc_id % {len(_FAULTS) + 1} as kind, coalesce(code, '') <> '' and doc_id % {len(_FAULTS) + 1} <> {len(_FAULTS)} as readable from samples)
+select doc_id, '$' as path, 'json' as rule from read where not readable
+union all select doc_id, '$.language', 'enum' from read where readable and doc_id % 10 = 2
+union all select doc_id, list_extract([{', '.join(f"'{p}'" for p, _ in _BROKEN_AT)}], cast(kind + 1 as int)),
+    list_extract([{', '.join(f"'{r}'" for _, r in _BROKEN_AT)}], cast(kind + 1 as int)) from read where readable and kind < {len(_BROKEN_AT)}
+union all select doc_id, '$.ast.nodes[' || nid || ']' || field, case field when '.type' then 'required' else 'type' end
+    from nodes_hit where field is not null""")
+def _(spark, d):
+    return OR.schema_violations(faulty_json(record_json(spark, d)), "doc_id", "json")
+
+
 def converted(spark, d):
     coded = P.with_raw_metrics(samples(spark, d).withColumn("language", F.when(
         F.col("doc_id") % 19 == 0, "pascal").otherwise(spread_language())))

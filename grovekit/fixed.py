@@ -149,3 +149,59 @@ RECORD_TYPE = (
     f"node_categories:{CATEGORY_TYPE},cross_language_map:{MAP_TYPE},"
     "original_source_code:string>"
 )
+
+# The declared schema of a record.
+_WHOLE = {"type": "integer"}
+_WHOLE_OR_NULL = {"type": ["integer", "null"]}
+_STRING = {"type": "string"}
+_STRING_OR_NULL = {"type": ["string", "null"]}
+_BOOLEAN = {"type": "boolean"}
+_POINT = {"type": "object", "properties": {"row": _WHOLE, "column": _WHOLE}}
+
+
+def _list_of(items):
+    return {"type": "array", "items": items}
+
+
+def _object(properties, required=()):
+    return {"type": "object", "required": list(required), "properties": properties}
+
+
+NODE_SCHEMA = _object({
+    "id": _WHOLE, "type": _STRING, "text": _STRING, "start_byte": _WHOLE, "end_byte": _WHOLE,
+    "start_point": _POINT, "end_point": _POINT, "children": _list_of(_WHOLE), "parent": _WHOLE_OR_NULL,
+    "field_name": _STRING_OR_NULL, "is_named": _BOOLEAN, "is_error": _BOOLEAN,
+    "language_specific": {"type": "object", "additionalProperties": True},
+}, required=("id", "type", "text"))
+CATEGORY_SCHEMA = _object({
+    "declarations": _object({n: _list_of(_WHOLE) for n in ("functions", "variables", "classes", "imports")}),
+    "statements": _object({
+        n: _list_of(_WHOLE) for n in ("expressions", "assignments", "loops", "conditionals", "returns")}),
+    "expressions": _object({
+        n: _list_of(_WHOLE) for n in ("calls", "literals", "identifiers", "binary_operations", "unary_operations")}),
+})
+MAP_SCHEMA = _object({
+    "function_declarations": _list_of(_object({
+        "node_id": _WHOLE, "universal_type": {**_STRING, "enum": ["function", "method", "constructor", "lambda"]},
+        "name_node": _WHOLE_OR_NULL, "parameters_node": _WHOLE_OR_NULL,
+        "return_type_node": _WHOLE_OR_NULL, "body_node": _WHOLE_OR_NULL})),
+    "class_declarations": _list_of(_object({
+        "node_id": _WHOLE, "universal_type": {**_STRING, "enum": ["class", "struct", "interface", "trait", "enum"]},
+        "name_node": _WHOLE_OR_NULL, "body_node": _WHOLE_OR_NULL})),
+    "import_statements": _list_of(_object({
+        "node_id": _WHOLE, "module_path": _STRING_OR_NULL, "imported_items": _list_of(_STRING)})),
+})
+RECORD_SCHEMA = _object({
+    "schema_version": _STRING,
+    "language": {**_STRING, "enum": list(DECLARED_LANGUAGES)},
+    "success": _BOOLEAN,
+    "metadata": _object({
+        "lines": _WHOLE, "avg_line_length": {"type": "number"}, "nodes": _WHOLE, "errors": _WHOLE, "source_hash": _STRING,
+    }, required=("lines", "avg_line_length", "nodes", "errors")),
+    "ast": _object({
+        "root": _STRING, "nodes": _list_of(NODE_SCHEMA),
+        "node_categories": CATEGORY_SCHEMA, "cross_language_map": MAP_SCHEMA,
+    }, required=("root", "nodes")),
+    "errors": _list_of(_object({"type": _STRING, "message": _STRING, "start_point": _POINT, "end_point": _POINT})),
+    "source_context": _object({"original_source": _STRING}),
+}, required=("language", "success", "metadata", "ast"))

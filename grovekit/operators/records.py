@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from grovekit.fixed import (
-    CATEGORY_FIELDS, DECLARED_LANGUAGES, LANGUAGES, RECORD_TYPE,
+    CATEGORY_FIELDS, DECLARED_LANGUAGES, LANGUAGES, RECORD_SCHEMA, RECORD_TYPE,
 )
 from grovekit.functions.names import extract_name
 from grovekit.functions.nodes import category, graph_colour, graph_label, snippet
+from grovekit.functions.schema import violations
 from grovekit.functions.text import (
     double_or_zero, int_or_zero, invalid_reason, let, normalize_language, source_hash,
 )
@@ -267,6 +268,20 @@ def record_violations(df, record, json, languages=DECLARED_LANGUAGES):
     )
 
 
+def schema_violations(df, record, json, schema=RECORD_SCHEMA, carry=()):
+    """``(record, path, rule)``: one row per place where a JSON text breaks the schema, none for valid texts."""
+    found = df.select(record, *carry, violations(json, schema).alias("_found"))
+    return found.select(record, *carry, F.inline("_found"))
+
+
+def violation_report(found):
+    """Violations and records per rule and path; positions in lists are written ``[*]``."""
+    key = found.columns[0]
+    place = F.regexp_replace("path", r"\[\d+\]", "[*]")
+    per_record = found.groupBy(key, "rule", place.alias("path")).agg(F.count(F.lit(1)).alias("_n"))
+    return per_record.groupBy("rule", "path").agg(F.sum("_n").alias("violations"), F.count(F.lit(1)).alias("records"))
+
+
 def graph_nodes(nodes, record):
     """Drawable nodes."""
     return nodes.select(
