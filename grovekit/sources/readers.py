@@ -1,5 +1,6 @@
 """Readers."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from grovekit.fixed import LANGUAGES
@@ -56,9 +57,29 @@ def scan_keyed_json(spark, path):
     return explode_keyed_json(spark.read.text(path))
 
 
+def _scan_tables(spark, path, pattern):
+    """Rows of the folders in ``path`` whose own name fits; ``file`` is that name."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(root)
+    level = len([x for x in root.toUri().getPath().split("/") if x])
+    parts = F.split(F.regexp_replace("_metadata.file_path", "^[^:/]+:(//[^/]*)?/+", ""), "/")
+    try:
+        df = spark.read.parquet(f"{path.rstrip('/')}/{pattern}")
+    except AnalysisException as error:
+        raise FileNotFoundError(f"no files match {pattern} in {path}") from error
+    return df.withColumn("file", F.get(parts, F.lit(level)))
+
+
 def file_footprint(spark, path, pattern="*.parquet"):
-    """Rows, size on disk and logical size in memory per file."""
-    df = scan_glob(spark, path, pattern)
+    """Rows, size on disk and logical size in memory per file.
+
+    Where the pattern names no file but folders, as of tables written by many tasks, each folder
+    counts as one.
+    """
+    try:
+        df = scan_glob(spark, path, pattern)
+    except FileNotFoundError:
+        df = _scan_tables(spark, path, pattern)
     fields = [f for f in df.schema.fields if f.name != "file"]
     size = F.lit(0)
     for f in fields:
@@ -69,11 +90,12 @@ def file_footprint(spark, path, pattern="*.parquet"):
             size = size + F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0))
         else:
             size = size + F.lit(8)
-    return df.groupBy("file").agg(
+    part = df.groupBy("file", F.col("_metadata.file_path").alias("_part")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.max("_metadata.file_size").alias("disk_bytes"),
         F.sum(size.cast("bigint")).alias("memory_bytes"),
     )
+    return part.groupBy("file").agg(*[F.sum(c).alias(c) for c in ("rows", "disk_bytes", "memory_bytes")])
 
 
 def with_language(df, column="language"):

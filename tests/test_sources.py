@@ -69,6 +69,16 @@ def test_files(spark, corpus, tmp_path):
     assert sizes == {p.name: p.stat().st_size for p in folder.glob("*.parquet")}
 
 
+def test_footprint_of_a_folder(spark, tmp_path):
+    table = tmp_path / "in here" / "docs.parquet"
+    spark.range(100).selectExpr("id", "string(id) as text").repartition(4).write.parquet(str(table))
+    (found,) = SR.file_footprint(spark, str(table.parent), "docs.parquet").collect()
+    assert (found.file, found.rows, found.memory_bytes) == ("docs.parquet", 100, 100 * 8 + 190)
+    assert found.disk_bytes == sum(p.stat().st_size for p in table.glob("*.parquet"))
+    with pytest.raises(FileNotFoundError):
+        SR.file_footprint(spark, str(table.parent), "none.parquet")
+
+
 def test_prepare(spark, corpus):
     ready = P.prepare(corpus, "id", per_language=30)
     assert ready.columns == ["id", "language", "code", "avg_line_length", "line_count"] or set(ready.columns) >= {"id", "code", "line_count"}
