@@ -183,3 +183,13 @@ def test_graph_label(spark):
     df = spark.createDataFrame([("t", "a" * 30), ("t", "a" * 31)], "type string, text string")
     assert sorted(r[0] for r in df.select(graph_label("type", "text")).collect()) == sorted(
         ["t\n" + "a" * 30, "t\n(" + "a" * 30 + "...)"])
+
+
+def test_partitions_follow_the_text(spark):
+    # Six megabytes: adaptive execution must not gather them in one task before the rows multiply.
+    line = "word " * 400 + "\n"
+    df = spark.range(300).select("id", F.repeat(F.lit(line), 10).alias("code"))
+    nodes = OT.text_nodes(df, "id", "code")
+    assert nodes.select(F.spark_partition_id().alias("p")).distinct().count() >= 3
+    assert nodes.count() == 300 * (1 + 11 + 10 * 400)
+    assert OT.place_by_record(df.limit(0), "id", "code").count() == 0
