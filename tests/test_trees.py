@@ -193,3 +193,17 @@ def test_partitions_follow_the_text(spark):
     assert nodes.select(F.spark_partition_id().alias("p")).distinct().count() >= 3
     assert nodes.count() == 300 * (1 + 11 + 10 * 400)
     assert OT.place_by_record(df.limit(0), "id", "code").count() == 0
+
+
+def test_trees_return_every_node(spark, tmp_path):
+    from grovekit.catalog import all_queries
+
+    rows = [(1, "a b.\nC 7", "en", "s"), (2, "x", "de", "s"), (None, "y z", "fr", "t"), (4, None, "en", "t")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {name: all_queries()[name](spark, str(tmp_path)) for name in ("pruned_tree", "read_record", "graph_nodes")}
+    assert [list(df.columns) for df in found.values()] == [
+        ["doc_id", "seq", "id", "parent", "type", "text"],
+        ["doc_id", "id", "type", "digest", "parent", "start_row", "start_column"],
+        ["doc_id", "id", "label", "color", "shape"]]
+    counts = {name: df.where("doc_id = 1").count() for name, df in found.items()}
+    assert counts["pruned_tree"] > 1 and len(set(counts.values())) == 1
