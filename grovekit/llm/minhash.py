@@ -238,8 +238,12 @@ def _reopened(members, labels, refused):
     pair. Members of a bucket's largest component are linked already and stay in their block; all others ask in
     every block. That is a row for each member and one for each asking member and block.
     """
-    now = members.join(labels, "node", "left").join(refused.select("node", F.lit(True).alias("again")), "node", "left")
-    now = now.withColumn("component", F.coalesce("component", "node"))
+    again = refused.select("node", F.lit(True).alias("again"))
+    hit = members.join(again, "node", "left_semi").select("key").distinct()
+    members = members.where("parts > 1").unionByName(members.where("parts = 1").join(hit, "key", "left_semi"))
+    # Labels are looked up once for each document, not for each of its buckets.
+    known = members.select("node").distinct().join(labels, "node", "left").join(again, "node", "left")
+    now = members.join(known.withColumn("component", F.coalesce("component", "node")), "node")
     held = now.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"), F.max("again").alias("again"))
     open_ = held.groupBy("key").agg(
         F.max_by("component", F.struct("held", -F.col("component"))).alias("largest"), F.count(F.lit(1)).alias("components"),
@@ -265,7 +269,7 @@ def _labels(members, members_sketch, sets, percent, minima, small):
                 "key", "node", "part", F.col("part").alias("block"), F.lit(False).alias("asks"), F.col("node").alias("component"))
         else:
             rows = _reopened(members, labels, refused)
-        blocks = rows.join(members_sketch, "node").join(refused, "node", "left")
+        blocks = rows.join(members_sketch.join(refused, "node", "left"), "node")
         pairs = staged(_candidates(blocks, percent, minima), "minhash-candidates")
         new = staged(_confirmed(pairs, sets, percent), "minhash-confirmed")
         tried = tried.unionByName(new)
