@@ -207,3 +207,31 @@ def test_trees_return_every_node(spark, tmp_path):
         ["doc_id", "id", "label", "color", "shape"]]
     counts = {name: df.where("doc_id = 1").count() for name, df in found.items()}
     assert counts["pruned_tree"] > 1 and len(set(counts.values())) == 1
+
+
+def test_category_lowers_a_type_once(spark):
+    df = spark.createDataFrame([("If_Statement",)], "type string")
+    for mode in ("reference", "corrected"):
+        found = df.select(category("type", mode).alias("c"))
+        assert found.first().c == "statements.conditionals"
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("lower(") <= 1
+
+
+def test_only_inner_nodes_are_looked_at_as_parents(spark):
+    df = spark.createDataFrame([(1, "a b\n\nc"), (2, ""), (3, " ")], "record int, code string")
+    nodes = OT.text_nodes(df, "record", "code")
+    rows = sorted(nodes.collect(), key=lambda n: (n.record, n.seq))
+    follows = [b.record == a.record and b.depth > a.depth for a, b in zip(rows, rows[1:])] + [False]
+    assert [n.has_children for n in rows] == follows
+    bare = nodes.drop("has_children", "parent_seq", "parent_type")
+    known = nodes.drop("parent_seq", "parent_type")
+    for found in (OT.with_parent(known, "record"), OT.with_parent(bare, "record")):
+        got = {(n.record, n.seq): (n.parent_seq, n.parent_type) for n in found.collect()}
+        assert got == {(n.record, n.seq): (n.parent_seq, n.parent_type) for n in rows}
+    both = [{(n.record, n.seq, n.keep, n.id, n.parent, n.direct) for n in OT.prune(x, "record").collect()} for x in (known, bare)]
+    assert both[0] == both[1]
+
+
+def test_a_task_holds_one_megabyte_of_text(spark):
+    df = spark.range(400).select("id", F.repeat(F.lit("word "), 2000).alias("code"))
+    assert OT.text_nodes(df, "id", "code").rdd.getNumPartitions() == 4
