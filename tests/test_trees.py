@@ -1,6 +1,7 @@
 """Tree operators against recursive walks on random trees."""
 
 import random
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,3 +236,33 @@ def test_only_inner_nodes_are_looked_at_as_parents(spark):
 def test_a_task_holds_one_megabyte_of_text(spark):
     df = spark.range(400).select("id", F.repeat(F.lit("word "), 2000).alias("code"))
     assert OT.text_nodes(df, "id", "code").rdd.getNumPartitions() == 4
+
+
+def test_read_dumps_stay_where_they_are(spark, tmp_path):
+    from grovekit.catalog import all_queries
+
+    texts = {i: " ".join(f"w{(i * 7 + k * k) % 90}" for k in range(60)) + f"\nx {i}" for i in range(300)} | {900: "", 901: "a  b\n\n"}
+    rows = [(k, t, "en", "s") for k, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = all_queries()["read_dump"](spark, str(tmp_path))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    want = set()
+    for k, t in texts.items():
+        nodes = [(0, t)] + [n for line in t.split("\n") for n in [(1, line), *((2, x) for x in line.split(" ") if x)]]
+        want |= {(k, seq, depth, sha256(x.encode()).hexdigest()) for seq, (depth, x) in enumerate(nodes)}
+    got = found.withColumn("p", F.spark_partition_id()).collect()
+    assert {(r.doc_id, r.seq, r.depth, r.digest) for r in got} == want and len(got) == len(want)
+    by_task = {}
+    for r in got:
+        by_task.setdefault(r.p, []).append(r.digest)
+    for digests in by_task.values():
+        assert sum(a != b for a, b in zip(digests, [None] + digests)) == len(set(digests))
+
+
+def test_dump_parent_needs_one_exchange(spark):
+    df = spark.createDataFrame([(i, '(a) "x"\n  (b) "y"\n    (c) "z"\n  (d) "y"') for i in range(20)] + [(99, None)], "record int, dump string")
+    placed, loose = (OT.read_dump(df, "record", "dump", place=p) for p in (True, False))
+    assert {tuple(r) for r in placed.collect()} == {tuple(r) for r in loose.collect()} and loose.count() == 80
+    parents = OT.with_parent(placed, "record")
+    assert parents._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert {(r.seq, r.parent_seq) for r in parents.collect()} == {(0, None), (1, 0), (2, 1), (3, 0)}
