@@ -124,3 +124,30 @@ def test_violation_rows_and_report(spark):
     report = OR.violation_report(rows.drop("language"))
     assert {tuple(r) for r in report.collect()} == {("type", "$.ast.nodes[*].id", 2, 2), ("json", "$", 1, 1)}
     assert OR.schema_violations(df.limit(0), "key", "json").count() == 0
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_are_checked_once(spark):
+    df = spark.createDataFrame([(0, json.dumps(GOOD))], "at int, json string")
+    assert optimized(OR.schema_violations(df, "at", "json")).count("parseJson") == 1
+
+
+def test_items_that_break_nothing_by_their_shape(spark):
+    item = {"type": "object", "required": ["id"], "properties": {
+        "id": {"type": "integer"}, "up": {"type": ["integer", "null"]}, "of": {"type": "array", "items": {"type": "integer"}},
+        "at": {"type": "object", "properties": {"row": {"type": "integer"}}}, "any": {"items": {"type": "string"}}}}
+    # A list shows its item type but not its nulls, and an empty one looks like one of nulls.
+    items = [
+        {"id": 1}, {"id": 2, "up": None, "of": [], "at": {}}, {"id": 3, "of": [1, None]}, {"id": 4, "of": [None]}, {"up": 1}, {"id": None},
+        {"id": 1.5}, {"id": 7.0, "of": [1, 2]}, {"id": 8, "more": {"x": [None]}}, {"id": 9, "at": {"row": "x"}}, {"id": 10, "any": ["a", 1]},
+        {"id": 11, "of": 5}, 12, None, {"id": 14, "up": "x", "of": ["y", 1]}]
+    got = found(spark, [json.dumps(items), "[]", json.dumps(items[:2])], {"items": item})
+    assert got[1:] == [[], []]
+    # The item itself breaks the rule for its type.
+    assert got[0] == [
+        ("$[2].of[1]", "type"), ("$[3].of[0]", "type"), ("$[4].id", "required"), ("$[5].id", "type"), ("$[6].id", "type"),
+        ("$[9].at.row", "type"), ("$[10].any[1]", "type"), ("$[11].of", "type"), ("$[12]", "type"), ("$[13]", "type"),
+        ("$[14].up", "type"), ("$[14].of[0]", "type")]
