@@ -106,6 +106,21 @@ def test_convert(spark, corpus, tmp_path):
     assert '"parent":null' in json and '"success":true' in json
 
 
+def test_converted_rows_are_neither_shuffled_nor_sorted(spark, tmp_path):
+    rows = [(i, f"f{i % 3}" if i % 7 else None, None if i % 5 == 0 else "x" * i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, file string, universal_schema string").repartition(6)
+    key, path = "spark.sql.maxConcurrentOutputFileWriters", str(tmp_path / "out")
+    before = spark.conf.get(key)
+    counts = {r.input_file: (r.total_rows, r.successful_conversions) for r in SW.write_converted(df, path).collect()}
+    assert spark.conf.get(key) == before
+    whole = [r for r in rows if r[1] is not None and r[2] is not None]
+    assert counts == {f: (sum(r[1] == f for r in rows), sum(r[1] == f for r in whole)) for f in {r[1] for r in rows}}
+    assert sorted(tuple(r) for r in SW.read_converted(spark, path, df.schema).select(df.columns).collect()) == whole
+    # As many files in a folder as tasks have rows for it; rows shuffled by file would be in one.
+    files = [p.name for p in (tmp_path / "out" / "whole=true" / "file=f1").glob("part-*")]
+    assert len(files) > 1 and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_incremental(spark, corpus, tmp_path):
     source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
 
