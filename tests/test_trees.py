@@ -1,13 +1,14 @@
 """Tree operators against recursive walks on random trees."""
 
 import random
+import re
 from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
 
 from grovekit.operators import records as OR, trees as OT
-from grovekit.functions.nodes import category, graph_label
+from grovekit.functions.nodes import category, graph_label, node_types
 
 TYPES = ["block", "identifier", "call", "if_statement", "string", "import_statement", "class_declaration",
          "variable_declarator", "variable_declaration", "type_spec", "type_declaration", "function_definition"]
@@ -266,3 +267,15 @@ def test_dump_parent_needs_one_exchange(spark):
     parents = OT.with_parent(placed, "record")
     assert parents._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert {(r.seq, r.parent_seq) for r in parents.collect()} == {(0, None), (1, 0), (2, 1), (3, 0)}
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_records_are_parsed_once(spark):
+    rows = [(1, '{"ast":{"nodes":[{"id":0,"type":"a"},null,{"id":2,"type":"b"}]}}'), (2, '{"ast":{"nodes":[]}}'), (3, "{"), (4, None), (5, '{"ast":5}')]
+    df = spark.createDataFrame(rows, "record int, json string")
+    found = OR.read_record(df, "record", "json")
+    assert [(r.record, r.id, r.type) for r in found.collect()] == [(1, 0, "a"), (1, None, None), (1, 2, "b")]
+    assert optimized(found).count("from_json(") == 1
