@@ -279,3 +279,30 @@ def test_records_are_parsed_once(spark):
     found = OR.read_record(df, "record", "json")
     assert [(r.record, r.id, r.type) for r in found.collect()] == [(1, 0, "a"), (1, None, None), (1, 2, "b")]
     assert optimized(found).count("from_json(") == 1
+
+
+def test_violations_of_odd_values(spark):
+    good = '"language":"go","success":true,"metadata":{"lines":1,"avg_line_length":2.5,"nodes":1,"errors":0}'
+
+    def tree(nodes):
+        return "{" + good + ',"ast":{"root":"r","nodes":' + nodes + "}}"
+
+    want = {
+        tree('[{"id":0,"type":"a","text":"","children":[]}]'): [], tree("[]"): [], tree("5"): ["ast.nodes wrong type"],
+        tree("null"): ["ast.nodes wrong type"], tree('{"0":1}'): ["ast.nodes wrong type"],
+        tree('[{"id":0.5,"type":"a","text":""}]'): ["node fields"], tree('[{"id":0,"text":""}]'): ["node fields"],
+        tree('[{"id":0,"type":null,"text":""}]'): ["node fields"],
+        "{" + good + "}": ["ast missing", "ast.root missing", "ast.nodes missing"],
+        "{" + good + ',"ast":[1]}': ["ast wrong type", "ast.root missing", "ast.nodes missing"],
+        "{" + good + ',"ast":null}': ["ast wrong type", "ast.root missing", "ast.nodes missing"],
+        tree("[]").replace('"metadata":{', '"metadata":3,"x":{'): ["metadata wrong type", *[f"metadata.{n} missing" for n in ("lines", "avg_line_length", "nodes", "errors")]],
+        tree("[]").replace('"lines":1', '"lines":{"a":1}').replace("2.5", "true"): ["metadata.lines wrong type", "metadata.avg_line_length wrong type"],
+        "7": ["language missing", "success missing", "metadata missing", "ast missing", *[f"metadata.{n} missing" for n in ("lines", "avg_line_length", "nodes", "errors")], "ast.root missing", "ast.nodes missing"],
+    }
+    df = spark.createDataFrame([(i, json) for i, json in enumerate(want)], "record int, json string")
+    checked = OR.record_violations(df, "record", "json")
+    found = {r.record: r.violations for r in checked.collect()}
+    assert [found[i] for i in range(len(want))] == list(want.values())
+    # The type of the whole tree, which is put together from those of all its nodes, is not asked for.
+    assert "schemaOfVariant(try_variant_get" in optimized(checked)
+    assert not re.search(r"schemaOfVariant\((try_variant_get\()+_value#\d+, \$\.ast(\.nodes)?,", optimized(checked))
