@@ -306,3 +306,19 @@ def test_violations_of_odd_values(spark):
     # The type of the whole tree, which is put together from those of all its nodes, is not asked for.
     assert "schemaOfVariant(try_variant_get" in optimized(checked)
     assert not re.search(r"schemaOfVariant\((try_variant_get\()+_value#\d+, \$\.ast(\.nodes)?,", optimized(checked))
+
+
+def test_types_of_plain_and_odd_nodes(spark):
+    want = {
+        '{"ast":{"nodes":[{"type":"a","x":{"type":"y"}},{"type":"b\\"c"}]}}': ["a", 'b"c'], '{"ast":{"nodes":[]}}': [],
+        '{"ast":{"nodes":[{"type":1.50},{"type":"b"}]}}': ["1.5", "b"], '{"ast":{"nodes":[{"x":{"type":"deep"}},{"type":"b"}]}}': ["deep", "b"],
+        '{"ast":{"nodes":[{"type":null},{"type":"b"}]}}': ["b"], '{"ast":{"nodes":[5,{"type":"b"}]}}': ["b"],
+        '[{"ast":{"nodes":[{"type":"first"}]}},{"type":"second"}]': ["first"], '{"ast":{"nodes":7},"type":"top"}': ["top"],
+        "{'ast':{'nodes':[{'type':'quoted'}]}}": ["quoted"], "{": None,
+    }
+    df = spark.createDataFrame([(i, json) for i, json in enumerate(want)], "record int, json string")
+    types = node_types("json")
+    found = {r.record: r.types for r in df.select("record", types.alias("types")).collect()}
+    assert [found[i] for i in range(len(want))] == list(want.values())
+    # Records of the usual kind are not written as text and parsed again.
+    assert "ArrayType(StructType(StructField(type,VariantType" in optimized(df.select(types))
