@@ -273,6 +273,14 @@ def optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_category_is_searched_outside_of_lambdas(spark):
+    df = spark.createDataFrame([("If_Statement",), ("block",), (None,)], "type string")
+    for mode in ("reference", "corrected"):
+        found = OR.with_category(df, mode)
+        assert [r.category for r in found.collect()] == ["statements.conditionals", None, None] and found.columns == ["type", "category"]
+        assert "lambda" not in optimized(found) and optimized(found).count("lower(") == 1
+
+
 def test_records_are_parsed_once(spark):
     rows = [(1, '{"ast":{"nodes":[{"id":0,"type":"a"},null,{"id":2,"type":"b"}]}}'), (2, '{"ast":{"nodes":[]}}'), (3, "{"), (4, None), (5, '{"ast":5}')]
     df = spark.createDataFrame(rows, "record int, json string")
